@@ -9,8 +9,6 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Characters that separate words, everywhere in this subpackage.
-SPACES = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -25,8 +23,7 @@ def lower_ascii(c: Column) -> Column:
 
 def words_of(c: Column) -> Column:
     """The words of a text as an array; none for null."""
-    spaced = F.translate(F.coalesce(c, F.lit("")), SPACES[1:], " " * (len(SPACES) - 1))
-    return F.array_remove(F.split(spaced, " "), "")
+    return F.array_remove(F.split(F.coalesce(c, F.lit("")), r"[\x20\x09-\x0D]+"), "")
 
 
 def let(value: Column, body) -> Column:
@@ -34,6 +31,14 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def free_name(df: DataFrame, wish: str) -> str:
+    """A column name that ``df`` doesn't have."""
+    have = {c.lower() for c in df.columns}
+    while wish in have:
+        wish += "_"
+    return wish
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or (unset, as in tests) our own."""
     key = "spark.checkpoint.dir"

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from siltstone.llm import sql
 from siltstone.llm.bpe import bpe_encode
 from siltstone.llm.common import table
+from siltstone.llm.quality import quality_rules
 from siltstone.llm.url_filter import url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +23,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_encode(table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents")).drop("char_distance", "common_distance")
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
