@@ -95,7 +95,7 @@ def shuffle_count(spark: SparkSession, df: DataFrame, times: float = 1.0, target
     """
     own = int(spark.conf.get("spark.sql.shuffle.partitions"))
     try:
-        size = float(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = float(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except ValueError:
         size = 0.0
     return max(own, min(100_000, int(size * times / target) + 1))

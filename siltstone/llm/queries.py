@@ -10,6 +10,9 @@ from siltstone.llm import sql
 from siltstone.llm.bpe import bpe_encode
 from siltstone.llm.common import table
 from siltstone.llm.quality import quality_rules
+from siltstone.llm.substrings import substring_dedup
+from siltstone.llm.token_counts import token_counts
+from siltstone.llm.toxicity import toxicity
 from siltstone.llm.url_filter import url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +30,18 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("char_distance", "common_distance")
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"), digest=True)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 

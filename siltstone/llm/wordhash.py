@@ -21,6 +21,8 @@ SLICE_BYTES = 4 << 20
 
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[0x20, 9, 10, 11, 12, 13]] = True
+#: Another way to cut: words of ASCII letters and digits and of all characters beyond ASCII.
+IS_MARK = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -61,13 +63,13 @@ class Words:
 
     __slots__ = ("count", "data", "end", "first", "hash", "row", "rows", "start")
 
-    def __init__(self, texts: pa.Array, lower: bool = False):
+    def __init__(self, texts: pa.Array, lower: bool = False, breaks: np.ndarray = IS_SPACE):
         data, offsets = _buffers(texts)
         self.rows = len(texts)
         self.data = data
         base, top = int(offsets[0]), int(offsets[-1])
         body = data[base:top]
-        inside = ~IS_SPACE[body]
+        inside = ~breaks[body]
         opens = inside.copy()
         opens[1:] &= ~inside[:-1]
         closes = inside.copy()
