@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from siltstone.llm import sql
 from siltstone.llm.bpe import bpe_encode
 from siltstone.llm.common import table
+from siltstone.llm.jaccard import jaccard_join
 from siltstone.llm.quality import quality_rules
 from siltstone.llm.substrings import substring_dedup
 from siltstone.llm.token_counts import token_counts
@@ -42,6 +43,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
