@@ -5,11 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siltstone.llm import sql
 from siltstone.llm.bpe import bpe_encode
+from siltstone.llm.chat import rotate_perspectives
 from siltstone.llm.common import table
+from siltstone.llm.decontamination import decontaminate
 from siltstone.llm.jaccard import jaccard_join
+from siltstone.llm.licences import document_path, licence_scan
 from siltstone.llm.quality import quality_rules
 from siltstone.llm.substrings import substring_dedup
 from siltstone.llm.token_counts import token_counts
@@ -31,10 +35,22 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("char_distance", "common_distance")
 
 
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_scan(table(spark, sf_dir, "documents"), document_path(F.col("source"), F.col("doc_id")))
+
+
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotate_perspectives(table(spark, sf_dir, "conversations"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"), digest=True)
 
