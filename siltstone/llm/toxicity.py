@@ -26,11 +26,13 @@ class Settings:
     """Of the learner. ``max_rows`` bounds the labelled rows it sees (those with the smallest hash of their id)."""
 
     max_rows: int = 20_000
-    epochs: int = 4
-    alpha: float = 0.3
+    epochs: int = 8
+    alpha: float = 1.0
     beta: float = 1.0
-    l1: float = 1.5
-    l2: float = 0.5
+    l1: float = 15.0
+    l2: float = 0.1
+    #: Toxic rows are rarer than others, and each counts so many times.
+    toxic_weight: float = 3.0
     #: Log-odds are capped here while learning, so that no row's gradient vanishes by overflow.
     cap: float = 35.0
 
@@ -62,10 +64,11 @@ class Ftrl:
         return np.where(small, 0.0, w)
 
     def learn(self, at: np.ndarray, x: np.ndarray, label: int) -> None:
+        s = self.s
         w = self.weights(at)
-        p = 1 / (1 + np.exp(-np.clip(w @ x, -self.s.cap, self.s.cap)))
-        g = (p - label) * x
-        rate = (np.sqrt(self.n[at] + g * g) - np.sqrt(self.n[at])) / self.s.alpha
+        p = 1 / (1 + np.exp(-np.clip(w @ x, -s.cap, s.cap)))
+        g = (p - label) * x * (s.toxic_weight if label else 1.0)
+        rate = (np.sqrt(self.n[at] + g * g) - np.sqrt(self.n[at])) / s.alpha
         self.z[at] += g - rate * w
         self.n[at] += g * g
 
