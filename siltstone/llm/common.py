@@ -66,7 +66,13 @@ class Scratch:
     def save(self, df: DataFrame) -> DataFrame:
         self.names += 1
         path = f"{self.folder}/{self.names}"
-        df.write.parquet(path)
+        cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+        before = self.spark.conf.get(cleanup, None)
+        self.spark.conf.set(cleanup, "true")  # what the write has shuffled isn't needed beyond it
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.unset(cleanup) if before is None else self.spark.conf.set(cleanup, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         out.scratch_path = path
         return out

@@ -5,7 +5,7 @@ at cover positions modulo the period, as every difference modulo the period occu
 windows share an anchor (a shorter window) at a cover position of each, and only 4 of 13 positions are hashed:
 
 1. Anchors at cover positions meet by hash. Those that occur twice mark the windows that hold them.
-2. Only marked windows are hashed whole (128 bits) and meet by hash; all but the first occurrence are repeats.
+2. Only marked windows are hashed whole (96 bits) and meet by hash; all but the first occurrence are repeats.
 3. The words that repeats cover are cut.
 
 No pairs are made: within a slice of documents equal hashes are settled at once and one of them goes on, so a hash
@@ -24,12 +24,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import shuffle_count
+from siltstone.llm.common import Scratch, shuffle_count
 from siltstone.llm.wordhash import Words, slices
 
 #: Perfect difference covers: every residue is a difference of two members (fixed values).
 COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
-_ROWS = "h bigint, g bigint, id bigint, start int, stop int"
+_ROWS = "h bigint, g int, id bigint, start int, stop int"
 
 
 def cover_for(window: int) -> tuple[int, tuple[int, ...]]:
@@ -39,7 +39,7 @@ def cover_for(window: int) -> tuple[int, tuple[int, ...]]:
 
 
 def _rows(h: np.ndarray, g: np.ndarray, ids: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(g.view(np.int64)), pa.array(ids, pa.int64()), pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32))], ["h", "g", "id", "start", "stop"])
+    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array((g >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(ids, pa.int64()), pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32))], ["h", "g", "id", "start", "stop"])
 
 
 def _runs(row: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -67,7 +67,7 @@ def _with_local(h: np.ndarray, g: np.ndarray, w: Words, ids: np.ndarray, starts:
     hs, gs = h[order], g[order]
     same = np.zeros(len(order), dtype=bool)
     same[1:] = (hs[1:] == hs[:-1]) & (gs[1:] == gs[:-1])
-    ask = order[~same]
+    ask = np.sort(order[~same])  # as they lie: neighbours compress well
     if later_only:  # a start that equals the first one's id and start is no later
         first = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
         settled = order[same & ((own[order] != own[order[first]]) | (at[order] != at[order[first]]))]
@@ -119,7 +119,7 @@ def _marked(part: pa.RecordBatch, w: Words, window: int) -> np.ndarray:
 def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
-            part, ids = _known_ids(part)
+            part, ids = _known_ids(part.filter(part.column("ranges").is_valid()))
             w = Words(part.column("text"))
             starts = _marked(part, w, window)
             yield _with_local(w.window_hashes(starts, window), w.window_hashes(starts, window, 1), w, ids, starts, True, 0)
@@ -216,16 +216,18 @@ def substring_dedup(docs: DataFrame, window: int = 20, id_column: str = "doc_id"
     names; an empty table gives an empty result. Ids are integers. Windows are judged on the input, not on what is left.
     """
     spark = docs.sparkSession
+    scratch = Scratch(spark)
     n = shuffle_count(spark, docs, target=16 << 20)
     others = [c for c in docs.columns if c not in (id_column, text_column)] if not digest else []
     other_names = [f"c{k}" for k in range(len(others))]
     named: list[Column] = [F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text")]
     plain = docs.select(*named)
     period, _ = cover_for(window)
-    anchors = plain.mapInArrow(partial(_anchors, window=window), _ROWS)
-    shared = anchors.repartition(n, "h").mapInArrow(partial(_meet, later_only=False, back=period - 1), "id bigint, range bigint")
+    shared = plain.mapInArrow(partial(_anchors, window=window), _ROWS).repartition(n, "h").mapInArrow(partial(_meet, later_only=False, back=period - 1), "id bigint, range bigint")
+    shared = scratch.save(shared)
+    # both uses of the dealt texts take all their columns and no filter, so that one exchange serves both
     dealt = docs.select(*named, *[F.col(f"`{c}`").alias(x) for c, x in zip(others, other_names, strict=True)]).repartition(n, "id")
-    asked = dealt.select("id", "text").join(_by_id(shared).hint("shuffle_hash"), "id").mapInArrow(partial(_windows, window=window), _ROWS)
+    asked = dealt.join(_by_id(shared).hint("shuffle_hash"), "id", "left").mapInArrow(partial(_windows, window=window), _ROWS)
     repeats = asked.repartition(n, "h").mapInArrow(partial(_meet, later_only=True, back=0), "id bigint, range bigint")
     whole = dealt.join(_by_id(repeats).hint("shuffle_hash"), "id", "left")
     if digest:
