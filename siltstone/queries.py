@@ -412,7 +412,10 @@ _metric("q_metric_max", {"ArchiveOffset": "last", "ArchiveDatabaseRowMaxLatency"
 _metric("q_metric_min", {"ArchiveDatabaseRowMinLatency": "records"}, 'min(records) AS "ArchiveDatabaseRowMinLatency"')
 
 
-@register("q_metric_empty", f'SELECT 0::BIGINT AS "RecordsProcessed", 0::BIGINT AS "RecordsPerSecond", CAST('{-(2**63)}' AS BIGINT) AS "ArchiveDatabaseRowMaxLatency", CAST('{2**63 - 1}' AS BIGINT) AS "ArchiveDatabaseRowMinLatency", -1::BIGINT AS "ArchiveOffset"')
+_LEAST, _MOST = f"CAST('{-(2**63)}' AS BIGINT)", f"CAST('{2**63 - 1}' AS BIGINT)"
+
+
+@register("q_metric_empty", f'SELECT 0::BIGINT AS "RecordsProcessed", 0::BIGINT AS "RecordsPerSecond", {_LEAST} AS "ArchiveDatabaseRowMaxLatency", {_MOST} AS "ArchiveDatabaseRowMinLatency", -1::BIGINT AS "ArchiveOffset"')
 def metric_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = _tasks(spark, sf_dir).where("records < 0")
     return metrics.aggregate(none, {"RecordsProcessed": "records", "RecordsPerSecond": "records", "ArchiveDatabaseRowMaxLatency": "records", "ArchiveDatabaseRowMinLatency": "records", "ArchiveOffset": "last"})
