@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Estimates from here on say that Spark doesn't know a size.
+UNKNOWN_BYTES = 1 << 50
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -97,11 +99,11 @@ class Scratch:
 def shuffle_count(spark: SparkSession, df: DataFrame, times: float = 1.0, target: int = 32 << 20) -> int:
     """Partitions for a shuffle of about ``times`` the input's bytes, ``target`` bytes each.
 
-    Never fewer than the session's own setting; it grows with the input, so one partition doesn't.
+    Never fewer than the session's own setting, which counts alone where Spark knows no size; it grows with the input,
+    so one partition doesn't.
     """
     own = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        size = float(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except ValueError:
-        size = 0.0
+    size = float(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= UNKNOWN_BYTES:  # Spark has no estimate, or a product of a join's sides
+        return own
     return max(own, min(100_000, int(size * times / target) + 1))
