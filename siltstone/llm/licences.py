@@ -1,16 +1,19 @@
 """Licence scans by sparse TF-IDF cosine, with inheritance from the nearest directory (DataFrame functions only).
 
-Lines that speak of a licence, anywhere in a text, are compared to templates of licence notices: terms are weighted by how
-rare they are among all such lines of the corpus, and the template of the highest cosine names the licence. A file
-without a licence of its own has that of the licence file in the nearest directory above it.
+Lines that speak of a licence, anywhere in a text, and windows of the text's terms around each word that does are compared
+to templates of licence notices: terms are weighted by how rare they are among all such lines of the corpus, and the template
+of the highest cosine names the licence. Windows run on over line breaks, so that a notice is found inside a longer line as well
+as over several lines. A file without a licence of its own has that of the licence file in the nearest directory above it.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import Scratch
+from siltstone.llm.common import Scratch, let
 
 #: Notices of public licences (fixed values); several may name one licence.
 TEMPLATES = (
@@ -32,19 +35,79 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0 Universal."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    *((name, f"SPDX-License-Identifier: {name}") for name in ("Apache-2.0", "MIT", "BSD-3-Clause", "BSD-2-Clause", "MPL-2.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC0-1.0", "Unlicense")),
+    *((name, f"SPDX-License-Identifier: {name}{end}") for name in ("GPL-3.0", "GPL-2.0", "LGPL-3.0", "AGPL-3.0") for end in ("", "-only", "-or-later")),
 )
 #: What makes a line worth comparing.
 SPEAKS = r"(?i)licen[sc]e|copyright|permission is hereby|public domain|redistribution|free software|\bCC[ -]BY\b|\bCC0\b|SPDX"
+#: The same over line breaks and what a comment begins its lines with.
+SPEAKS_OVER_LINES = SPEAKS.replace("CC[ -]BY", "CC BY").replace(" ", r"\W+")
 #: File names whose licence is that of their directory.
 LICENCE_FILE = r"(?i)^(licen[sc]e|copying|notice|unlicense)(\..*)?$"
 MIN_COSINE = 0.55
+#: An SPDX tag is one term with the (first) identifier it gives, so that an unknown identifier resembles no template.
+SPDX = r"(?i)spdx-license-identifier:[\s(]*"
+#: Terms on each side of a speaking word; windows that fit a template are added to these.
+RADII = (6, 12, 24)
+#: Windows of fewer terms, which a few common words could fill, need a higher cosine.
+SHORT, MIN_SHORT_COSINE = 12, 0.8
+#: Marks the words that speak of a licence.
+MARK = "\x01"
 #: Licensed directories that may be broadcast.
 BROADCAST_ROWS = 200_000
 
 
 def terms(line: Column) -> Column:
     """Lower-cased runs of letters, digits and inner dots and hyphens."""
-    return F.regexp_extract_all(F.lower(line), F.lit(r"([\p{L}\p{N}]+(?:[.-][\p{L}\p{N}]+)*)"), 1)
+    return F.regexp_extract_all(F.lower(F.regexp_replace(line, SPDX, "SPDX-")), F.lit(r"([\p{L}\p{N}]+(?:[.-][\p{L}\p{N}]+)*)"), 1)
+
+
+def marked_terms(text: Column) -> Column:
+    """The terms of a text, with ``MARK`` in those where something that ``SPEAKS`` begins."""
+    return F.split(F.regexp_replace(F.array_join(terms(text), " "), f"({SPEAKS})", f"{MARK}$1"), " ")
+
+
+def _contexts(text: Column, before: int, after: int) -> Column:
+    """Of each speaking word the terms before it and those from it on, as two strings, each pair once."""
+    plain = lambda words: F.translate(F.array_join(words, " "), MARK, "")
+
+    def of(words: Column) -> Column:
+        at = F.filter(F.transform(words, lambda w, i: F.when(w.contains(MARK), i)), lambda i: i.isNotNull())
+        return F.array_distinct(F.transform(at, lambda i: F.struct(plain(F.slice(words, F.greatest(i - before, F.lit(0)) + 1, F.least(i, F.lit(before)))).alias("left"), plain(F.slice(words, i + 1, F.lit(after + 1))).alias("right"))))
+
+    return let(marked_terms(text), of)
+
+
+def _best_window(spans: list[tuple[int, int]], named: list, idf: list, min_cosine: float) -> Column:
+    """The best (-score, licence) of a context's windows, which have so many terms of (left, right) as each span says; null if none fits.
+
+    All is computed within the row, for windows are short and nearly all different: ``named`` and ``idf`` go as one literal.
+    """
+    numbers = {r.term: k for k, r in enumerate(idf)}
+    weights: dict[tuple, list] = {}
+    for r in named:
+        weights.setdefault((r.template, r.licence), [0.0] * len(idf))[numbers[r.term]] = r.tw
+    model = {"terms": numbers, "idf": [r.idf for r in idf], "templates": [{"licence": name, "w": w} for (_, name), w in sorted(weights.items())]}
+    model = F.from_json(F.lit(json.dumps(model)), "terms map<string,int>, idf array<double>, templates array<struct<licence:string,w:array<double>>>")
+
+    def word(w: Column) -> Column:
+        k = F.try_element_at(model["terms"], w)
+        return F.struct(w.alias("w"), k.alias("k"), F.coalesce(F.get(model["idf"], k), F.lit(1.0)).alias("i"))
+
+    def score(window: Column) -> Column:
+        square = F.aggregate(window, F.lit(0.0), lambda s, x: s + x["i"] * x["i"] * F.size(F.filter(window, lambda y: y["w"] == x["w"])))
+        enough = F.when(F.size(window) < SHORT, F.lit(max(MIN_SHORT_COSINE, min_cosine))).otherwise(F.lit(min_cosine))
+
+        def over(v: Column) -> Column:
+            dot = lambda t: F.aggregate(v["known"], F.lit(0.0), lambda s, x: s + x["i"] * F.get(t["w"], x["k"]))
+            return F.array_min(F.transform(model["templates"], lambda t: F.struct((-F.round(dot(t) / v["norm"], 6)).alias("s"), t["licence"].alias("licence"))))
+
+        best = let(F.struct(F.sqrt(square).alias("norm"), F.filter(window, lambda x: x["k"].isNotNull()).alias("known")), over)
+        return let(best, lambda x: F.when(-x["s"] >= enough, x))
+
+    side = lambda c: F.transform(F.array_remove(F.split(c, " "), ""), word)
+    cut = lambda v: F.array(*[F.concat(F.slice(v["l"], F.greatest(F.size(v["l"]) - b, F.lit(0)) + 1, F.lit(b)), F.slice(v["r"], F.lit(1), F.lit(a + 1))) for b, a in spans])
+    return F.array_min(F.transform(let(F.struct(side(F.col("left")).alias("l"), side(F.col("right")).alias("r")), cut), score))
 
 
 def _weights(lines: DataFrame, key: list[str], idf: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -56,28 +119,38 @@ def _weights(lines: DataFrame, key: list[str], idf: DataFrame) -> tuple[DataFram
 
 
 def own_licences(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", templates=TEMPLATES, min_cosine: float = MIN_COSINE) -> DataFrame:
-    """(id, licence, score) of the documents with a line that a template fits; ties go to the licence's name."""
+    """(id, licence, score) of the documents with a line or a window of terms that a template fits; ties go to the licence's name.
+
+    A template that stands in a text word for word is found whatever surrounds it, for one of the windows is just as long.
+    """
     spark = docs.sparkSession
     scratch = Scratch(spark)
     text = F.col(text_column)
-    speaking = docs.where(F.col(id_column).isNotNull() & text.rlike(SPEAKS))
-    lines = speaking.select(F.col(id_column).alias("id"), F.explode(F.filter(F.split(text, "\n"), lambda x: x.rlike(SPEAKS))).alias("line")).distinct()
-    # lines repeat a great deal: each different line is compared once
+    samples = F.array(*[F.struct(F.lit(k).alias("template"), F.lit(name).alias("licence"), F.lit(body).alias("line")) for k, (name, body) in enumerate(templates)])
+    samples = spark.range(1).select(F.explode(samples).alias("t")).select("t.template", "t.licence", terms(F.col("t.line")).alias("terms"), marked_terms(F.col("t.line")).alias("marked"))
+    shapes = [(next((i for i, w in enumerate(r.marked) if MARK in w), None), len(r.marked)) for r in samples.collect()]
+    spans = sorted({(i, n - 1 - i) for i, n in shapes if i is not None} | {(n, n) for n in RADII})
+    speaking = docs.where(F.col(id_column).isNotNull() & text.rlike(SPEAKS_OVER_LINES))
+    around = _contexts(text, max(b for b, _ in spans), max(a for _, a in spans))
+    said = scratch.save(speaking.select(F.col(id_column).alias("id"), F.filter(F.split(text, "\n"), lambda x: x.rlike(SPEAKS)).alias("lines"), around.alias("contexts")))
+    # lines repeat a great deal: each different one is compared once
+    lines = said.select("id", F.explode("lines").alias("line")).distinct()
     counted = scratch.save(lines.groupBy("line").agg(F.count("*").alias("n")).select("line", "n", terms(F.col("line")).alias("terms")))
     lines_in_all = counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
-    samples = F.array(*[F.struct(F.lit(k).alias("template"), F.lit(name).alias("licence"), F.lit(body).alias("line")) for k, (name, body) in enumerate(templates)])
-    samples = spark.range(1).select(F.explode(samples).alias("t")).select("t.template", "t.licence", terms(F.col("t.line")).alias("terms"))
     known = samples.select(F.explode("terms").alias("term")).distinct()
     df = counted.select("n", F.explode(F.array_distinct("terms")).alias("term")).join(F.broadcast(known), "term", "left_semi").groupBy("term").agg(F.sum("n").alias("df"))
     rarity = F.log((1.0 + lines_in_all) / (1.0 + F.coalesce("df", F.lit(0)))) + 1.0
     idf = scratch.save(known.join(df, "term", "left").select("term", rarity.alias("idf")))  # as many rows as the templates have terms
     t, t_norm = _weights(samples, ["template"], idf)
     named = t.join(t_norm, "template").join(samples.select("template", "licence"), "template").select("term", "template", "licence", (F.col("w") / F.col("norm")).alias("tw"))
+    named = scratch.save(named)
     x, x_norm = _weights(counted, ["line"], idf)
-    dots = x.join(F.broadcast(scratch.save(named)), "term").groupBy("line", "template", "licence").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
+    dots = x.join(F.broadcast(named), "term").groupBy("line", "template", "licence").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
     scored = dots.join(x_norm, "line").select("line", "licence", F.round(F.col("dot") / F.col("norm"), 6).alias("score")).where(F.col("score") >= min_cosine)
     best = scored.groupBy("line").agg(F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("b"))
-    per_doc = lines.join(best, "line").groupBy("id").agg(F.min("b").alias("b"))
+    windows = said.select("id", F.inline("contexts")).select("id", _best_window(spans, named.collect(), idf.collect(), min_cosine).alias("b")).where("b is not null")
+    fits = lines.join(best, "line").select("id", "b").union(windows)
+    per_doc = fits.groupBy("id").agg(F.min("b").alias("b"))
     return per_doc.select(F.col("id").alias(id_column), F.col("b.licence").alias("licence"), (-F.col("b.s")).alias("score"))
 
 
@@ -89,7 +162,7 @@ def licence_scan(docs: DataFrame, path: Column, id_column: str = "doc_id", text_
     best score counts, then the first name. Rows that share an id share its licence; rows without an id have only an inherited one.
     Other columns are not returned; an empty table gives an empty result.
 
-    Texts are read once, in a narrow pass that keeps the speaking lines. Directories are made distinct before their ancestors (as
+    Texts are read once, in a narrow pass that keeps the speaking lines and a bounded number of terms around each speaking word. Directories are made distinct before their ancestors (as
     many as a path is deep) are joined, so a directory's files cost it one row; files then join their own directory.
     """
     scratch = Scratch(docs.sparkSession)

@@ -183,6 +183,21 @@ def test_licences_and_inheritance(spark):
     assert licences.licence_scan(df.unionByName(df), F.col("p")).count() == 16
 
 
+def test_licences_inside_lines_and_over_lines(spark):
+    r = random.Random(3)
+    other = lambda n: " ".join(f"w{r.randrange(500)}" for _ in range(n))
+    texts = [(k, f"{other(r.choice([0, 5, 200]))} {body} {other(150)}", name) for k, (name, body) in enumerate(licences.TEMPLATES)]
+    texts += [(100 + k, f"{other(90)}\n# " + body.replace(" ", "\n# ") + f"\n{other(90)}", name) for k, (name, body) in enumerate(licences.TEMPLATES) if "SPDX" not in body]
+    texts += [
+        (300, f"{other(80)} a license that came {other(80)} is distributed under the MIT License and was {other(80)}", "MIT"), (301, f"{other(9)} SPDX-License-Identifier: (MPL-2.0 OR MIT) {other(60)}", "MPL-2.0"),
+        (302, f"{other(80)} a license, the copyright and the redistribution of it under the license {other(80)}", None), (303, f"{other(9)} SPDX-License-Identifier: Other-1.0 {other(60)}", None), (304, other(90), None),
+    ]
+    df = spark.createDataFrame([t[:2] for t in texts], "doc_id long, text string")
+    got = {x.doc_id: (x.licence, x.score) for x in licences.own_licences(df).collect()}
+    assert {k: got.get(k, (None,))[0] for k, _, _ in texts} == {k: name for k, _, name in texts}
+    assert all(got[k][1] == 1.0 for k in got if k < 300)
+
+
 def test_licence_lines_of_the_tables(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     own = {r.doc_id: r.licence for r in licences.own_licences(d).collect()}
