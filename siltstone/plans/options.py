@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from zoneinfo import available_timezones
 
 LONG_MAX = (1 << 63) - 1
 MICROS = 1_000_000
+#: The zone of the times in paths, unless the option zone names another.
+PATH_ZONE = "Europe/Helsinki"
 
 
 @dataclass(frozen=True)
@@ -29,18 +32,17 @@ class Options:
     catalog: str = ""
     objects: str = ""
     tail_path: str = ""
-    bloom: bool = False
     without_filters: bool = False
     without_filters_pattern: str = ""
+    filters: str = ""
+    filter_types: str = ""
     skip_bad: bool = False
     epoch_migration: bool = False
     include_before: int = LONG_MAX
     include_from: int = -(LONG_MAX + 1) // MICROS
     continuous: bool = False
     residual: bool = True
-    zone: str = "UTC"
-    audit_reason: str = ""
-    audit_user: str = ""
+    zone: str = PATH_ZONE
     batching: Batching = field(default_factory=Batching)
 
 
@@ -60,18 +62,26 @@ def read(options: Mapping[str, str]) -> Options:
     archive, tail = _flag(o, "archive.enabled"), _flag(o, "kafka.enabled")
     if not archive and not tail:
         raise ValueError("neither archive.enabled nor kafka.enabled is true")
+    if _flag(o, "bloom.enabled"):
+        raise ValueError("bloom.enabled isn't supported by this source; operators.bloom.prune is the pruning of a catalog")
+    if audits := [k for k in o if k.startswith(("audit", "teragrepaudit"))]:
+        raise ValueError(f"auditing isn't supported by this source: {', '.join(audits)}")
     number = lambda name, default: type(default)(o.get(name.lower(), default))
     batching = Batching(
         number("num_partitions", 1), number("quantumLength", 15.0), number("batch.size.fileCompressionRatio", 15.5), number("batch.size.processingSpeed", 136.5), number("batch.size.totalObjectCountLimit", 1000)
     )
     out = Options(
-        need("queryXML"), archive, tail, _flag(o, "metadataQuery.enabled"), need("catalog") if archive else "", o.get("objects", ""), need("tail.path") if tail else "", _flag(o, "bloom.enabled"),
-        _flag(o, "bloom.withoutFilters"), o.get("bloom.withoutfilterspattern", ""), _flag(o, "skipNonRFC5424Files"), _flag(o, "epochMigrationMode"), number("archive.includeBeforeEpoch", LONG_MAX),
-        number("kafka.includeEpochAndAfter", -(LONG_MAX + 1) // MICROS), _flag(o, "kafka.continuousProcessing"), o.get("residual", "true").lower() == "true", o.get("zone", "UTC"),
-        o.get("auditreason", ""), o.get("audituser", ""), batching,
+        need("queryXML"), archive, tail, _flag(o, "metadataQuery.enabled"), need("catalog") if archive else "", o.get("objects", ""), need("tail.path") if tail else "",
+        _flag(o, "bloom.withoutFilters"), o.get("bloom.withoutfilterspattern", ""), o.get("bloom.filters", ""), o.get("bloom.types", ""), _flag(o, "skipNonRFC5424Files"), _flag(o, "epochMigrationMode"), number("archive.includeBeforeEpoch", LONG_MAX),
+        number("kafka.includeEpochAndAfter", -(LONG_MAX + 1) // MICROS), _flag(o, "kafka.continuousProcessing"), o.get("residual", "true").lower() == "true", o.get("zone", PATH_ZONE),
+        batching,
     )
     if out.without_filters and not out.without_filters_pattern:
         raise ValueError("bloom.withoutFilters needs bloom.withoutFiltersPattern")
+    if out.without_filters and not (out.filters and out.filter_types):
+        raise ValueError("bloom.withoutFilters needs the tables bloom.filters and bloom.types")
+    if out.zone not in available_timezones():
+        raise ValueError(f"zone {out.zone} is unknown")
     if archive and not out.metadata and not out.objects:
         raise ValueError("option objects is missing")
     return out

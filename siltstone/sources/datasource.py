@@ -1,32 +1,35 @@
 """The log source for Spark: ``spark.dataSource.register(LogSource)``, then ``format("siltstone")``, as a batch or a stream.
 
 The archive side reads hourly objects that a catalog lists (a parquet table with id, directory, stream, host, bucket, path,
-logtime, file_size, uncompressed_file_size); the tail side reads a replayable table (topic, partition, offset, value). Both give
+logtime, file_size, uncompressed_file_size) and, with bloom.withoutFilters, tables of filters (partition_id, filter_type_id, bits)
+and filter types (id, pattern) narrow to those without a filter; the tail side reads a replayable table (topic, partition, offset, value). Both give
 the same nine columns. Which objects and offsets a batch has follows from the catalog and the batch's offsets alone, so that a
 restarted stream reads the same again.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import time
 from collections.abc import Iterator
 from dataclasses import dataclass
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 import pyarrow.dataset as ds
 from pyarrow import fs
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from siltstone.plans import schedule
-from siltstone.plans.conditions import HOUR, earliest_epoch, topic_regex
+from siltstone.plans.conditions import HOUR, TERM, earliest_epoch, topic_regex
 from siltstone.plans.evaluate import object_may_match, row_matches
 from siltstone.plans.options import Options, read
-from siltstone.plans.query import parse
+from siltstone.plans.query import leaves, parse
 from siltstone.sources import archive, records
 from siltstone.sources.offsets import Offset, from_dict
 
 SCHEMA = "_time timestamp, _raw string, index string, sourcetype string, host string, source string, partition string, offset long, origin string"
+EPOCH, MICROSECOND = datetime(1970, 1, 1, tzinfo=UTC), timedelta(microseconds=1)
 
 
 @dataclass
@@ -66,6 +69,8 @@ class Plan:
     def __init__(self, options: Options):
         self.o = options
         self.node = parse(options.query)
+        if self.o.without_filters and any(leaf.tag == TERM for leaf in leaves(self.node)):
+            raise ValueError("bloom.withoutFilters doesn't go with search terms")
         self.topics = re.compile(_java_pattern(topic_regex(self.node)))
 
     def objects(self, after: int, last: int) -> list[dict]:
@@ -73,7 +78,17 @@ class Plan:
         hour = ds.field("logtime")
         upto = (hour > after) & (hour <= last) & (hour < self.o.include_before)
         names = lambda r: {"index": r["directory"], "sourcetype": r["stream"], "host": r["host"]}
-        return [r for r in _table(self.o.catalog, where=upto) if object_may_match(self.node, names(r), r["logtime"])]
+        found = [r for r in _table(self.o.catalog, where=upto) if object_may_match(self.node, names(r), r["logtime"])]
+        if not self.o.without_filters:
+            return found
+        have = self._filtered()
+        return [r for r in found if r["id"] not in have]
+
+    def _filtered(self) -> set[int]:
+        """Objects with a filter of the types with exactly the option's pattern."""
+        types = [r["id"] for r in _table(self.o.filter_types, ["id"], ds.field("pattern") == self.o.without_filters_pattern)]
+        where = ds.field("filter_type_id").isin(types) & ds.field("bits").is_valid()
+        return {r["partition_id"] for r in _table(self.o.filters, ["partition_id"], where)} if types else set()
 
     def hours(self, after: int) -> list[tuple[int, int, int]]:
         found: dict[int, tuple[int, int]] = {}
@@ -112,7 +127,7 @@ class Plan:
             yield from self._tail(part)
         else:
             for r in part.objects:
-                yield from self._metadata(r) if self.o.metadata else self._archive(r)
+                yield from self._metadata(r) if self.o.metadata else self._migration(r) if self.o.epoch_migration else self._archive(r)
 
     def _keep(self, row: tuple) -> bool:
         return not self.o.residual or row_matches(self.node, {"index": row[2], "sourcetype": row[3], "host": row[4]}, row[0].timestamp(), row[1])
@@ -121,11 +136,29 @@ class Plan:
         size = -1 if r["uncompressed_file_size"] is None else r["uncompressed_file_size"]
         yield (datetime.fromtimestamp(r["logtime"], UTC), f'{{"uncompressed":{size},"compressed":{r["file_size"]}}}', r["directory"], r["stream"], r["host"], "", str(r["id"]), 0, "")
 
-    def _archive(self, r: dict) -> Iterator[tuple]:
+    def _lines(self, r: dict) -> Iterator[bytes]:
         store, root = _store(self.o.objects)
         with store.open_input_stream(f"{root}/{r['path']}", compression=None) as f:
             data = f.read()
-        for n, line in enumerate(archive.lines(data), 1):
+        return archive.lines(data)
+
+    def _migration(self, r: dict) -> Iterator[tuple]:
+        """One envelope an object, by its first event; one without a record, or without any line, is described by its path."""
+        at, precision = records.path_time(r["path"], self.o.zone)
+        times = {"path-extracted": None if at is None else f"{at:%Y-%m-%dT%H:%M:%SZ}", "path-extracted-precision": precision}
+        form, source, origin = "non-rfc5424", "unknown-source", "unknown-origin"
+        try:
+            at, _, sd, _, text = records.parse(next(self._lines(r), b"").decode("utf-8", "replace"))
+            form, source, origin = "rfc5424", records.source(sd), records.origin(sd)
+            times = {"rfc5424timestamp": text, "epoch": (at - EPOCH) // MICROSECOND} | times | {"source": "syslog"}
+        except ValueError:  # no record, or one of an impossible time
+            times["source"] = "object-path"
+        named = {"bucket": r["bucket"], "path": r["path"], "partition": str(r["id"])}
+        raw = {"epochMigration": True, "format": form, "object": named, "timestamp": {k: v for k, v in times.items() if v is not None}}
+        yield (at, json.dumps(raw, ensure_ascii=False, separators=(",", ":")), r["directory"].lower(), r["stream"].lower(), r["host"].lower(), source, str(r["id"]), 0, origin)
+
+    def _archive(self, r: dict) -> Iterator[tuple]:
+        for n, line in enumerate(self._lines(r), 1):
             try:
                 at, _, sd, message, _ = records.parse(line.decode("utf-8", "replace"))
             except records.BadRecord:

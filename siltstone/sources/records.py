@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 from datetime import UTC, datetime
+from zoneinfo import ZoneInfo
 
+from siltstone.functions.paths import DAILY, HOURLY
 from siltstone.functions.syslog import NODE_RELAY, NODE_SOURCE, ORIGIN, RECORD, TENANT, TIME
 
 _record = re.compile(RECORD.removeprefix("(?s)").replace(r"\x{FEFF}", "﻿"), re.DOTALL)
@@ -42,3 +44,16 @@ def origin(sd: dict[str, dict[str, str]]) -> str:
 
 def tenant(sd: dict[str, dict[str, str]], param: str) -> str:
     return sd.get(TENANT, {}).get(param, "")
+
+
+def path_time(path: str, zone: str) -> tuple[datetime | None, str | None]:
+    """The time in a path, by hour or else by day, and its precision; the rules are those of ``functions.paths``."""
+    found, precision = None, None
+    for pattern, form, name in ((HOURLY, "%Y%m%d%H", "hourly"), (DAILY, "%Y/%m-%d", "daily")):
+        if at := re.search(pattern, path):
+            precision = precision or name
+            try:
+                found = found or datetime.strptime(at[1], form).replace(tzinfo=ZoneInfo(zone)).astimezone(UTC)
+            except ValueError:  # digits that are no date
+                continue
+    return found, precision

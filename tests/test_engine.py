@@ -153,6 +153,43 @@ def test_metadata_source(spark, store):
     assert df.where("partition = '19003'").first()._raw == '{"uncompressed":-1,"compressed":28000000}'
 
 
+def test_migration_source(spark, store):
+    on = {"epochMigrationMode": "true", "kafka.enabled": "false"}
+    got = sorted(map(tuple, reader(spark, store, "read", **on).load().collect()))
+    objects = spark.read.parquet(f"{store}/catalog.parquet")
+    first = archive.read_lines(spark, f"{store}/objects").withColumn("key", F.substring_index("object", "/objects/", -1))
+    assert got == sorted(map(tuple, archive.migration(first, objects).collect())) and len(got) == 33
+    rows = [(0, b"no record\nnor this"), (1, b""), (2, b"<14>1 2014-06-20T09:14:07Z h a - - - x\n<14>1 2014-06-20T09:14:08Z h a - - - y")]
+    for k, data in rows:
+        (store / "objects" / f"2010/01-08/h/f17.log-201001080{k}.gz").parent.mkdir(parents=True, exist_ok=True)
+        (store / "objects" / f"2010/01-08/h/f17.log-201001080{k}.gz").write_bytes(gzip.compress(data))
+    catalog = [{"id": k, "directory": "F17", "stream": "S", "host": "H", "bucket": "b", "path": f"2010/01-08/h/f17.log-201001080{k}.gz", "logtime": T0, "file_size": 1, "uncompressed_file_size": 1} for k, _ in rows]
+    pq.write_table(pa.Table.from_pylist(catalog), store / "odd.parquet")
+    odd = {r.partition: r for r in reader(spark, store, "read", catalog=f"{store}/odd.parquet", zone="UTC", **on).load().withColumn("s", F.unix_timestamp("_time")).collect()}
+    assert {k: (r.s, r.source, r.offset) for k, r in odd.items()} == {"0": (1262908800, "unknown-source", 0), "1": (1262912400, "unknown-source", 0), "2": (1403255647, "::", 0)}
+    named = '"object":{"bucket":"b","path":"2010/01-08/h/f17.log-2010010801.gz","partition":"1"}'
+    assert odd["1"]._raw == f'{{"epochMigration":true,"format":"non-rfc5424",{named},"timestamp":{{"path-extracted":"2010-01-08T01:00:00Z","path-extracted-precision":"hourly","source":"object-path"}}}}'
+
+
+def test_source_of_objects_without_filters(spark, store):
+    types = [{"id": 1, "expectedElements": 10, "targetFpp": 0.1, "pattern": "a+"}, {"id": 2, "expectedElements": 10, "targetFpp": 0.1, "pattern": "b+"}]
+    filters = [{"partition_id": 19000 + k, "filter_type_id": 1 + k % 2, "bits": None if k == 4 else [1]} for k in range(30)]
+    pq.write_table(pa.Table.from_pylist(types), store / "types.parquet")
+    pq.write_table(pa.Table.from_pylist(filters), store / "filters.parquet")
+    on = {"bloom.withoutFilters": "true", "bloom.withoutFiltersPattern": "a+", "bloom.filters": f"{store}/filters.parquet", "bloom.types": f"{store}/types.parquet", "kafka.enabled": "false"}
+    left = {int(r.partition) - 19000 for r in reader(spark, store, "read", **on).load().collect()}
+    assert left == {k for k in range(33) if k % 2 or k == 4 or k >= 30}
+    assert reader(spark, store, "read", **(on | {"bloom.withoutFiltersPattern": "c"})).load().count() == 33
+    with pytest.raises(Exception, match="search terms"):
+        reader(spark, store, "read", queryXML='<indexstatement value="x" operation="EQUALS"/>', **on).load().count()
+
+
+@pytest.mark.parametrize(("extra", "said"), [({"bloom.enabled": "true"}, "bloom.enabled"), ({"auditUser": "u"}, "audit"), ({"TeragrepAuditReason": "r"}, "audit"), ({"zone": "Nowhere/X"}, "zone"), ({"bloom.withoutFilters": "true", "bloom.withoutFiltersPattern": "a"}, "bloom.filters")])
+def test_options_that_are_not_supported(extra, said):
+    with pytest.raises(ValueError, match=said):
+        options.read({"queryXML": "<a/>", "kafka.enabled": "true", "tail.path": "t"} | extra)
+
+
 def test_stream_in_batches_and_across_a_restart(spark, store):
     out, state, batches = f"{store}/out", f"{store}/state", []
 
