@@ -37,7 +37,7 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark items go."""
-    return without_leaks(docs, decontaminate(docs, table(spark, sf_dir, "benchmark")))
+    return without_leaks(docs, decontaminate(docs, table(spark, sf_dir, "benchmark"), short_items=True))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

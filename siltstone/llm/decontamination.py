@@ -48,18 +48,32 @@ def _small(df: DataFrame, most: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+def _whole(plain: DataFrame, items: DataFrame, shortest: int, scratch: Scratch) -> DataFrame:
+    """(doc, item, offset) of the first place of each item under ``shortest`` tokens: runs of as many tokens with an equal hash."""
+    short = scratch.save(items.withColumn("n", F.size("item_words")).where((F.col("n") > 0) & (F.col("n") < shortest)))
+    lengths = sorted(r.n for r in short.select("n").distinct().collect())  # at most shortest - 1
+    if not lengths:
+        return short.select(F.lit(None).cast(plain.schema["doc"].dataType).alias("doc"), "item", F.lit(0).alias("offset")).limit(0)
+    runs = ["1" * n for n in lengths]
+    place, number = F.expr(f"cast(at div {len(runs)} as int)"), F.expr(f"at % {len(runs)}")
+    wanted = short.select("item", "n", F.posexplode(seeds(F.col("item_words"), runs)).alias("at", "key"))
+    wanted = wanted.where((place == 0) & (F.get(F.array(*map(F.lit, lengths)), number) == F.col("n"))).select("key", "item")
+    found = plain.select("doc", F.posexplode(seeds(F.col("words"), runs)).alias("at", "key")).where("key is not null")
+    return found.join(_small(scratch.save(wanted), BROADCAST_ROWS), "key").groupBy("doc", "item").agg(F.min(place).alias("offset"))
+
+
 def decontaminate(
-    docs: DataFrame, benchmark: DataFrame, masks: Sequence[str] = MASKS, min_score: float = MIN_SCORE, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text: str = "text"
+    docs: DataFrame, benchmark: DataFrame, masks: Sequence[str] = MASKS, min_score: float = MIN_SCORE, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text: str = "text", short_items: bool = False
 ) -> DataFrame:
     """(id, item id, n_matched, n_compared, score) for each document that holds a benchmark item or a good part of it.
 
     n_matched of the n_compared aligned tokens are equal in the best alignment; its score is that of the best stretch.
-    An item of few tokens needs 0.6 of its length instead of ``min_score``; items too short for the shortest mask are never
-    found. Nulls count as empty texts and give nothing, and so do rows without an id. Repeated rows give one result, of equal
+    An item of few tokens needs 0.6 of its length instead of ``min_score``; items too short for the shortest mask are
+    found only with ``short_items``, where they stand word for word. Nulls count as empty texts and give nothing, and so do rows without an id. Repeated rows give one result, of equal
     alignments the one with more matches counts; other columns are not read; empty tables give an empty result.
 
     The documents are read twice, each time in a narrow pass: for the hashes, of which only those of the benchmark stay, and for
-    the texts with an alignment. Both joins broadcast while the small side is under a checked number of rows, and shuffle beyond.
+    the texts with an alignment; with ``short_items``, and where there are any, once more for theirs. Both joins broadcast while the small side is under a checked number of rows, and shuffle beyond.
     """
     scratch = Scratch(docs.sparkSession)
     plain = docs.where(F.col(id_column).isNotNull()).select(F.col(id_column).alias("doc"), tokens(F.col(text_column)).alias("words"))
@@ -68,6 +82,8 @@ def decontaminate(
     wanted = _small(scratch.save(wanted.select("key", "item", F.expr(f"cast(at div {len(masks)} as int)").alias("item_at")).distinct()), BROADCAST_ROWS)
     found = plain.select("doc", F.posexplode(seeds(F.col("words"), masks)).alias("at", "key"))
     hits = found.join(wanted, "key").select("doc", "item", F.expr(f"cast(at div {len(masks)} as int) - item_at").alias("offset")).distinct()
+    if short_items:
+        hits = hits.union(_whole(plain, items, min(map(len, masks)), scratch))
     hits = scratch.save(hits)
 
     aligned = plain.join(_small(hits, BROADCAST_ROWS), "doc").join(_small(items, 50_000), "item")

@@ -271,6 +271,15 @@ def test_decontamination(spark):
     assert decontamination.decontaminate(df.limit(0), bench).count() == 0 == decontamination.decontaminate(df, bench.limit(0)).count()
 
 
+def test_short_items(spark, tmp_path):
+    texts = {1: "a b c d e f", 2: "x, A b? x a b", 3: "b a", 4: "q one two three four five six q", 5: "q one two three four five seven", 6: None, 7: " ".join(f"t{k}" for k in range(30)), 8: "ab"}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    items = [(1, "a b"), (2, "one two three four five six"), (3, texts[7]), (4, ""), (5, None), (6, "d")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {(x.doc_id, x.item_id): (x.n_matched, x.n_compared, x.score) for x in queries.op7_decontamination(spark, str(tmp_path)).collect()}
+    assert got == {(1, 1): (2, 2, 2.0), (2, 1): (2, 2, 2.0), (1, 6): (1, 1, 1.0), (4, 2): (6, 6, 6.0), (7, 3): (30, 30, 30.0)}
+
+
 def test_decontamination_of_the_tables(spark):
     d, b = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "benchmark"))
     held = {(k, r.item_id) for k, t in texts_of(d).items() for r in b.collect() if r.text in (t or "")}
