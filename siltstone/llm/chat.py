@@ -15,21 +15,23 @@ TURNS = 64
 OPEN, MIDDLE, CLOSE = "<|", "|>\n", "\n<|end|>\n"
 
 
-def rotate_perspectives(turns: DataFrame, conv_column: str = "conv_id", turn_column: str = "turn", speaker_column: str = "role", text_column: str = "text", turns_per_row: int = TURNS) -> DataFrame:
+def rotate_perspectives(turns: DataFrame, conv_column: str = "conv_id", turn_column: str = "turn", speaker_column: str = "role", text_column: str = "text", turns_per_row: int = TURNS, keep_repeats: bool = False) -> DataFrame:
     """(conv, speaker, block, n_turns, n_own, rendered, masks): each dialogue as each of its speakers sees it.
 
     ``rendered`` writes the turns of a block in order; ``masks`` are (start, length) in characters of the assistant's words in it.
     A block is turn number div ``turns_per_row``, so that even a dialogue with a third of all turns is spread over tasks and each
     row is bounded by the turns that share a number. A perspective has a row for each block of its dialogue, also for those in
     which it is silent. Null texts count as empty, a null speaker as ``unknown``, and a null turn number comes first,
-    as block -1. Turns with equal numbers go by speaker and text; equal rows count once. Rows without a conversation are
+    as block -1. Turns with equal numbers go by speaker and text; equal rows count
+    once, or with ``keep_repeats`` as often as they occur. Rows without a conversation are
     one conversation, whose id is null. Other columns are not read; an empty table gives an empty result.
     """
     speaker = F.coalesce(F.nullif(F.trim(F.col(speaker_column)), F.lit("")), F.lit("unknown"))
     n = F.col(turn_column)
     block = F.coalesce(F.floor(n / turns_per_row), F.lit(-1)).cast("bigint")
     said = turns.select(F.col(conv_column).alias("conv"), block.alias("block"), n.alias("turn"), speaker.alias("who"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    blocks = said.groupBy("conv", "block").agg(F.sort_array(F.collect_set(F.struct("turn", "who", "text"))).alias("turns"))
+    gather = F.collect_list if keep_repeats else F.collect_set
+    blocks = said.groupBy("conv", "block").agg(F.sort_array(gather(F.struct("turn", "who", "text"))).alias("turns"))
     speakers = said.select(F.col("conv").alias("of"), F.col("who").alias("speaker")).distinct()
     each = blocks.join(speakers, F.col("conv").eqNullSafe(F.col("of"))).drop("of")
 

@@ -40,7 +40,7 @@ def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rotate_perspectives(table(spark, sf_dir, "conversations"))
+    return rotate_perspectives(table(spark, sf_dir, "conversations"), keep_repeats=True)
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

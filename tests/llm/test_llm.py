@@ -224,6 +224,15 @@ def test_chat(spark):
     assert chat.rotate_perspectives(df.limit(0)).count() == 0
 
 
+def test_chat_keeps_repeated_turns(spark, tmp_path):
+    rows = [(1, None, "Ann", "no"), (1, None, "Ann", "no"), (1, None, "Bob", "yes"), (2, 3, "Ann", "a"), (2, 3, "Ann", "a"), (2, 3, "Ann", None), (2, 3, "Ann", "")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {(r.conv_id, r.speaker): r for r in queries.op5_chat(spark, str(tmp_path)).collect()}
+    assert {k: (r.n_turns, r.n_own, len(r.masks)) for k, r in got.items()} == {(1, "Ann"): (3, 2, 2), (1, "Bob"): (3, 1, 1), (2, "Ann"): (4, 4, 4)}
+    assert got[1, "Bob"].rendered == "<|user name=Ann|>\nno\n<|end|>\n" * 2 + "<|assistant|>\nyes\n<|end|>\n"
+    assert [got[2, "Ann"].rendered[m.start : m.start + m.length] for m in got[2, "Ann"].masks] == ["", "", "a", "a"]
+
+
 # 6
 
 
