@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import groupby
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -244,8 +245,21 @@ def lpt_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = adapter.objects(spark, sf_dir).where(F.col("logdate") == F.lit("2024-01-05").cast("date")).select("path", "file_size").collect()
     queues = schedule.pack([(r.file_size, (r.path, r.file_size)) for r in day], 8)
     loads = [sum(size for _, size in q) for q in queues]
-    balanced = max(loads) - min(loads) <= max(r.file_size for r in day)
-    return spark.createDataFrame([(sum(loads), sum(map(len, queues)), balanced)], "bytes bigint, units bigint, balanced boolean")
+    balanced = max(loads, default=0) - min(loads, default=0) <= max((r.file_size for r in day), default=0)
+    return spark.createDataFrame([(sum(loads) if day else None, sum(map(len, queues)), balanced)], "bytes bigint, units bigint, balanced boolean")
+
+
+@register("q_lpt_packing_days", f"WITH {OBJECTS} SELECT logdate, CAST(sum(file_size) AS BIGINT) AS bytes, count(*) AS units, true AS balanced FROM o GROUP BY logdate")
+def lpt_packing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The objects of every day of the catalog dealt to eight queues, a row a day; the driver holds one partition's days at once."""
+    found = adapter.objects(spark, sf_dir).select("logdate", "path", "file_size").orderBy("logdate").toLocalIterator()
+    out = []
+    for logdate, day in groupby(found, key=lambda r: r.logdate):
+        units = [(r.file_size, (r.path, r.file_size)) for r in day]
+        queues = schedule.pack(units, 8)
+        loads = [sum(size for _, size in q) for q in queues]
+        out.append((logdate, sum(loads), sum(map(len, queues)), max(loads) - min(loads) <= max(size for size, _ in units)))
+    return spark.createDataFrame(out, "logdate date, bytes bigint, units bigint, balanced boolean")
 
 
 # decoding

@@ -39,6 +39,15 @@ def test_matches_sql(spark, sql, name):
     assert table(got.columns, [tuple(r) for r in got.collect()]) == table(columns, want.fetchall())
 
 
+def test_packing_of_every_day(spark, tmp_path):
+    days = engine.queries()["q_lpt_packing_days"](spark, DATA).collect()
+    assert len(days) > 1 and all(r.balanced for r in days)
+    assert sum(r.units for r in days) == engine.adapter.objects(spark, DATA).count()
+    spark.read.parquet(f"{DATA}/events.parquet").limit(0).write.parquet(f"{tmp_path}/events.parquet")
+    assert engine.queries()["q_lpt_packing_days"](spark, str(tmp_path)).count() == 0
+    assert tuple(engine.queries()["q_lpt_packing"](spark, str(tmp_path)).first()) == (None, 0, True)
+
+
 def test_entry(spark):
     import __spark_entry__
 
