@@ -382,6 +382,16 @@ def delimiter_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.range(1).select(F.explode(search_tokens.delimiter_tokens(F.lit("test.nest"))).alias("token"))
 
 
+@register("q_delimiter_tokens_paths")
+def delimiter_tokens_of_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The delimiter tokens of every object's path, and the size of its filter of a type without a pattern."""
+    found = adapter.objects(spark, sf_dir).select("path")
+    types = spark.createDataFrame([(1, 1000, 0.01, None)], "id long, expectedElements long, targetFpp double, pattern string")
+    filters = bloom.build(found.select(F.col("path").alias("partition_id"), F.col("path").alias("text")), types)
+    tokens = found.select("path", F.sort_array(search_tokens.delimiter_tokens(F.col("path"))).alias("tokens"))
+    return tokens.join(filters.select(F.col("partition_id").alias("path"), F.size("bits").alias("n_bits")), "path")
+
+
 @register("q_term_regex_join", f"WITH {EVENTS}, p(pattern) AS (VALUES ('^c'), ('w$'), ('r{{2}}')) SELECT DISTINCT \"index\", pattern FROM t JOIN p ON regexp_matches(\"index\", pattern)")
 def term_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A term matched against patterns in a column: a handful of patterns, broadcast."""

@@ -2,6 +2,7 @@
 
 import math
 import os
+import re
 
 import duckdb
 import pytest
@@ -48,6 +49,16 @@ def test_packing_of_every_day(spark, tmp_path):
     assert tuple(engine.queries()["q_lpt_packing"](spark, str(tmp_path)).first()) == (None, 0, True)
 
 
+def test_delimiter_tokens_of_paths(spark):
+    rows = engine.queries()["q_delimiter_tokens_paths"](spark, DATA).collect()
+    assert sorted(r.path for r in rows) == sorted(r.path for r in engine.adapter.objects(spark, DATA).collect())
+    hashes = engine.bloom.shape(1000, 0.01)[1]
+    for r in rows:
+        pieces = [x for x in re.split(r"([/:=@.\-$#%\\_])", r.path) if x]
+        tokens = {"".join(pieces[i:k]) for i in range(len(pieces)) for k in range(i + 1, len(pieces) + 1)}
+        assert set(r.tokens) == tokens and len(r.tokens) == len(tokens) and hashes <= r.n_bits <= len(tokens) * hashes
+
+
 def test_entry(spark):
     import __spark_entry__
 
