@@ -23,9 +23,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.where(judged.columns[-1]).select(*docs.columns)
 
 
+def without_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """One row for each id (null too) and text. Only rows whose id occurs again are shuffled with their texts."""
+    again = Scratch(spark).save(docs.groupBy(F.col("doc_id").alias("again")).count().where("count > 1").select("again"))
+    if again.isEmpty():
+        return docs
+    same = F.col("doc_id").eqNullSafe(F.col("again"))
+    rest = F.struct(*[c for c in docs.columns if c not in ("doc_id", "text")])
+    one = docs.join(again, same, "left_semi").groupBy("doc_id", "text").agg(F.min(rest).alias("rest")).select("doc_id", "text", "rest.*")
+    return docs.join(again, same, "left_anti").unionByName(one)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id stays."""
+    """Of each group of linked documents the one with the smallest id stays, and of rows with the same id and text one."""
     groups = Scratch(spark).save(jaccard_join(docs))
+    docs = without_repeats(spark, docs)
     gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 

@@ -410,6 +410,18 @@ def test_components(spark):
 # the pipeline
 
 
+def test_repeated_rows_in_the_pipeline(spark):
+    import corpus_pipeline
+
+    say = lambda k: " ".join(f"w{k}x{n}" for n in range(40))
+    rows = [(1, say(1), "en", "a", 5), (1, say(1), "en", "b", 5), (1, say(2), "en", "a", 5), (2, say(3), None, None, None), (None, say(4), "en", "a", 5), (None, say(4), "en", "a", 5), (3, None, "en", "a", 5), (3, None, "en", "a", 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.near_duplicates(spark, df, DATA)
+    assert left.columns == df.columns
+    assert sorted(map(str, left.collect())) == sorted(map(str, df.where("source = 'a' or source is null").distinct().collect()))
+    assert corpus_pipeline.near_duplicates(spark, df.where("doc_id = 2"), DATA).count() == 1
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
