@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from siltstone.sources.shared import shared_folder
 from siltstone.streaming import windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,10 +157,10 @@ def json(spark, d):
     return read(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
 
 
-@register("g_array", "SELECT vec_id, round(list_sum(embedding), 3) AS total, len(embedding) AS n FROM embeddings")
+@register("g_array", "SELECT vec_id, round(list_sum(embedding), 3) + 0.0 AS total, len(embedding) AS n FROM embeddings")
 def array(spark, d):
     total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double"))
-    return read(spark, d, "embeddings").select("vec_id", F.round(total, 3).alias("total"), F.size("embedding").cast("long").alias("n"))
+    return read(spark, d, "embeddings").select("vec_id", (F.round(total, 3) + 0.0).alias("total"), F.size("embedding").cast("long").alias("n"))
 
 
 @register("g_date", "SELECT o_orderkey, CAST(year(o_orderdate) AS BIGINT) AS y, CAST(month(o_orderdate) AS BIGINT) AS m, strftime(o_orderdate, '%Y-%m-%d') AS day, date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) AS age FROM orders")
@@ -189,26 +189,21 @@ def map_(spark, d):
 # streams: each runs over the events as files, to the end of what is there, and its result is read back
 
 
-def _sink(spark: SparkSession) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="stream-")
-    return folder
-
-
 @register("s_tumbling", "SELECT CAST(floor(epoch(time_bucket(INTERVAL 1 DAY, ts))) AS BIGINT) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def tumbling(spark, d):
-    return windows.run(spark, windows.tumbling(windows.events(spark, d), "1 day"), _sink(spark))
+    return windows.run(spark, windows.tumbling(windows.events(spark, d), "1 day"), shared_folder(spark))
 
 
 @register("s_sliding", "WITH s AS (SELECT event_type, unnest([epoch(time_bucket(INTERVAL 12 HOUR, ts)), epoch(time_bucket(INTERVAL 12 HOUR, ts)) - 43200]) AS a FROM events) SELECT CAST(floor(a) AS BIGINT) AS start, event_type, count(*) AS n FROM s GROUP BY 1, 2")
 def sliding(spark, d):
-    return windows.run(spark, windows.sliding(windows.events(spark, d), "1 day", "12 hours"), _sink(spark))
+    return windows.run(spark, windows.sliding(windows.events(spark, d), "1 day", "12 hours"), shared_folder(spark))
 
 
 @register("s_session", "WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)), n AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT user_id, CAST(floor(epoch(min(ts))) AS BIGINT) AS start, count(*) AS n FROM n GROUP BY user_id, k")
 def session(spark, d):
-    return windows.run(spark, windows.sessions(windows.events(spark, d), "6 hours"), _sink(spark))
+    return windows.run(spark, windows.sessions(windows.events(spark, d), "6 hours"), shared_folder(spark))
 
 
 @register("s_dedup", "SELECT DISTINCT user_id, event_type FROM events")
 def dedup(spark, d):
-    return windows.run(spark, windows.events(spark, d).select("user_id", "event_type").dropDuplicates(), _sink(spark))
+    return windows.run(spark, windows.events(spark, d).select("user_id", "event_type").dropDuplicates(), shared_folder(spark))
