@@ -2,15 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_SD = r'(?:-|(?:\[(?:[^\]"\\]|\\.|"(?:[^"\\]|\\.)*")*\])+)'
+_QUOTED = r'"(?:[^"\\]++|\\.)*+"'
+_SD = rf'(?:-|(?:\[(?:[^\]"\\\x{{FFFF}}]++|\\.|{_QUOTED})*+\])++)'
 #: Priority, version, time, host, application, process, message id, structured data, message.
-RECORD = rf"(?s)^<([0-9]{{1,3}})>([0-9]{{1,2}}) (\S+) (\S+) (\S+) (\S+) (\S+) ({_SD})(?: \x{{FEFF}}?(.*))?$"
+RECORD = rf"(?s)^<([0-9]{{1,3}})>([0-9]{{1,2}}) ([^\s\x{{FFFF}}]+) ([^\s\x{{FFFF}}]+) (\S+) (\S+) (\S+) ({_SD})(?: \x{{FEFF}}?(.*))?$"
 TIME = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d+)?(?:Z|[+-]\d{2}:\d{2})$"
-#: Ids of structured data elements (fixed values of the archive's senders).
-NODE_SOURCE, NODE_RELAY, ORIGIN, TENANT = "event_node_source@48577", "event_node_relay@48577", "origin@48577", "teragrep@48577"
+#: A character that no text has; it parts what one match of a record gives.
+BORDER = "￿"
+
+
+@dataclass(frozen=True)
+class Ids:
+    """Ids of the structured data elements that say where a record comes from. Archives name their own (the source's options ``sd.*``); the
+    number of the defaults is the one that is set aside for examples."""
+
+    source: str = "event_node_source@32473"
+    relay: str = "event_node_relay@32473"
+    origin: str = "origin@32473"
+    tenant: str = "tenant@32473"
+
+
+IDS = Ids()
 
 
 def is_record(value: Column) -> Column:
@@ -22,11 +39,14 @@ def field(value: Column, k: int) -> Column:
     return F.regexp_extract(value, RECORD, k)
 
 
+def _time_of(text: Column) -> Column:
+    cut = F.when(F.length(text) > 26, F.regexp_replace(text, r"(\.\d{6})\d+", "$1")).otherwise(text)
+    return F.when(text.rlike(TIME), F.try_to_timestamp(cut))
+
+
 def event_time(value: Column) -> Column:
     """The record's time with microseconds (more digits are cut off); null for none."""
-    text = field(value, 3)
-    cut = F.regexp_replace(text, r"(\.\d{6})\d+", "$1")
-    return F.when(text.rlike(TIME), F.try_to_timestamp(cut))
+    return _time_of(field(value, 3))
 
 
 def epoch_micros(time: Column) -> Column:
@@ -41,40 +61,68 @@ def message(value: Column) -> Column:
     return field(value, 9)
 
 
-def sd_get(sd: Column, element: str, param: str) -> Column:
-    """A parameter of a structured data element, with its escapes undone; null if there is none."""
-    other = r'(?:[^\]"\\]|\\.|"(?:[^"\\]|\\.)*")*?'
-    pattern = rf'\[\Q{element}\E(?: {other})? \Q{param}\E="((?:[^"\\]|\\.)*)"'
-    found = F.regexp_extract(sd, pattern, 1)
-    return F.when(sd.rlike(pattern), F.regexp_replace(found, r'\\(["\\\]])', "$1"))
+def element(sd: Column, name: str) -> Column:
+    """The parameters of the first element of some id, as they are written; null if there is none.
 
+    What stands within quotes can't look like an element or a parameter, as quotes and closing brackets are escaped there.
+    """
+    found = F.regexp_extract(sd, rf'\[\Q{name}\E((?: [^ =\]"]+={_QUOTED})*+)\]', 1)
+    return F.when(F.contains(sd, F.lit(f"[{name}")) & sd.rlike(rf'\[\Q{name}\E(?: [^ =\]"]+={_QUOTED})*+\]'), found)
+
+
+def param(params: Column, name: str) -> Column:
+    """One of an element's parameters, with its escapes undone; null if there is none."""
+    found = F.regexp_extract(params, rf' \Q{name}\E="((?:[^"\\]++|\\.)*+)"', 1)
+    plain = F.when(F.contains(found, F.lit("\\")), F.regexp_replace(found, r'\\(["\\\]])', "$1")).otherwise(found)
+    return F.when(F.contains(params, F.lit(f' {name}="')), plain)
+
+
+def sd_get(sd: Column, name: str, key: str) -> Column:
+    """A parameter of a structured data element; null if there is none."""
+    return param(element(sd, name), key)
 
-def origin(sd: Column) -> Column:
-    return F.coalesce(sd_get(sd, ORIGIN, "hostname"), F.lit(""))
 
+def origin(sd: Column, ids: Ids = IDS) -> Column:
+    return F.coalesce(sd_get(sd, ids.origin, "hostname"), F.lit(""))
 
-def source(sd: Column, tail_rule: bool = False) -> Column:
+
+def source(sd: Column, tail_rule: bool = False, ids: Ids = IDS) -> Column:
     """``module:host:source`` of the sending node, each from the source element or else the relay's; ``::`` for none.
 
     With ``tail_rule`` the third part falls back only where the source element has no host name, as the live tail had it.
     """
-    own = lambda p: sd_get(sd, NODE_SOURCE, p)
-    relay = lambda p: sd_get(sd, NODE_RELAY, p)
-    part = lambda p: F.coalesce(own(p), relay(p), F.lit(""))
+    return _source(element(sd, ids.source), element(sd, ids.relay), tail_rule)
+
+
+def _source(own: Column, relay: Column, tail_rule: bool) -> Column:
+    part = lambda p: F.coalesce(param(own, p), param(relay, p), F.lit(""))
     last = part("source")
     if tail_rule:
-        last = F.when(own("hostname").isNull(), F.coalesce(relay("source"), F.lit(""))).otherwise(F.coalesce(own("source"), F.lit("")))
+        last = F.when(param(own, "hostname").isNull(), F.coalesce(param(relay, "source"), F.lit(""))).otherwise(F.coalesce(param(own, "source"), F.lit("")))
     return F.concat_ws(":", part("source_module"), part("hostname"), last)
 
 
-def decode(value: Column, index: Column, sourcetype: Column, host: Column, partition: Column, offset: Column, tail: bool = False) -> list[Column]:
-    """The nine columns of the event relation for a record of an archive object, or of the live tail."""
-    sd = structured_data(value)
+def decoded(events: DataFrame, value: Column, index: Column, sourcetype: Column, host: Column, partition: Column, offset: Column, keep: tuple[str, ...] = (), tail: bool = False, ids: Ids = IDS) -> DataFrame:
+    """The columns ``keep`` of ``events`` and the nine columns of the event relation, for records of archive objects or of the live tail.
+
+    A record is matched once and an element of its structured data found once: each step is a projection of its own, which the
+    optimizer leaves apart as the next one names its columns several times. What is no record has no time and an empty message.
+    """
+    names = {"index": index, "sourcetype": sourcetype, "host": host, "partition": partition, "offset": offset}
+    # time, host, message and structured data, of which only the message may have the border in it
+    parts = F.split(F.regexp_replace(value, RECORD, f"$3{BORDER}$4{BORDER}$8{BORDER}$9"), BORDER, 4)
+    out = events.select(*keep, F.struct(*[c.alias(k) for k, c in names.items()]).alias("_of"), parts.alias("_parts"))
+    at = lambda k: F.when(F.size("_parts") == 4, F.get("_parts", F.lit(k))).otherwise(F.lit(""))
+    out = out.select(*keep, "_of", at(0).alias("_text"), at(1).alias("_host"), at(2).alias("_sd"), at(3).alias("_raw"))
+    wanted = {"_source": ids.source, "_relay": ids.relay, "_origin": ids.origin} | ({"_tenant": ids.tenant} if tail else {})
+    bare = F.length("_sd") < 3  # nothing, or "-"
+    out = out.select(*keep, "_of", "_text", "_host", "_raw", *[F.when(~bare, element(F.col("_sd"), name)).alias(c) for c, name in wanted.items()])
     if tail:
-        index, sourcetype, host = (F.coalesce(sd_get(sd, TENANT, "directory"), F.lit("")), F.coalesce(sd_get(sd, TENANT, "streamname"), F.lit("")), field(value, 4))
+        of_tenant = lambda p: F.coalesce(param(F.col("_tenant"), p), F.lit(""))
+        index, sourcetype, host = of_tenant("directory"), of_tenant("streamname"), F.col("_host")
     else:
-        index, sourcetype, host = F.lower(index), F.lower(sourcetype), F.lower(host)
-    return [
-        event_time(value).alias("_time"), message(value).alias("_raw"), index.alias("index"), sourcetype.alias("sourcetype"), host.alias("host"), source(sd).alias("source"),
-        partition.cast("string").alias("partition"), offset.cast("long").alias("offset"), origin(sd).alias("origin"),
-    ]
+        index, sourcetype, host = F.lower("_of.index"), F.lower("_of.sourcetype"), F.lower("_of.host")
+    return out.select(
+        *keep, _time_of(F.col("_text")).alias("_time"), "_raw", index.alias("index"), sourcetype.alias("sourcetype"), host.alias("host"), _source(F.col("_source"), F.col("_relay"), tail).alias("source"),
+        F.col("_of.partition").cast("string").alias("partition"), F.col("_of.offset").cast("long").alias("offset"), F.coalesce(param(F.col("_origin"), "hostname"), F.lit("")).alias("origin"),
+    )

@@ -265,15 +265,15 @@ def lpt_packing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 # decoding
 
 _RECORD = "'<14>1 ' || strftime(_time, '%Y-%m-%dT%H:%M:%S.%fZ') || ' ' || host || ' app - - ' || sd || ' ' || _raw"
-_SD = """CASE event_id % 3 WHEN 0 THEN '[event_node_source@48577 hostname="src-' || host || '" source="10.0.0.1" source_module="imudp"][origin@48577 hostname="o-' || user_id || '"]'
- WHEN 1 THEN '[event_node_relay@48577 hostname="relay" source="r" source_module="imrelp"][origin@48577 hostname="a\\"b"]' ELSE '-' END"""
+_SD = """CASE event_id % 3 WHEN 0 THEN '[event_node_source@32473 hostname="src-' || host || '" source="10.0.0.1" source_module="imudp"][origin@32473 hostname="o-' || user_id || '"]'
+ WHEN 1 THEN '[event_node_relay@32473 hostname="relay" source="r" source_module="imrelp"][origin@32473 hostname="a\\"b"]' ELSE '-' END"""
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = adapter.tagged(spark, sf_dir)
     k, host = F.col("event_id") % 3, F.col("host")
-    own = F.concat(F.lit('[event_node_source@48577 hostname="src-'), host, F.lit('" source="10.0.0.1" source_module="imudp"][origin@48577 hostname="o-'), F.col("user_id").cast("string"), F.lit('"]'))
-    relay = F.lit('[event_node_relay@48577 hostname="relay" source="r" source_module="imrelp"][origin@48577 hostname="a\\"b"]')
+    own = F.concat(F.lit('[event_node_source@32473 hostname="src-'), host, F.lit('" source="10.0.0.1" source_module="imudp"][origin@32473 hostname="o-'), F.col("user_id").cast("string"), F.lit('"]'))
+    relay = F.lit('[event_node_relay@32473 hostname="relay" source="r" source_module="imrelp"][origin@32473 hostname="a\\"b"]')
     sd = F.when(k == 0, own).when(k == 1, relay).otherwise("-")
     return t.withColumn("record", F.concat(F.lit("<14>1 "), F.date_format("_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"), F.lit(" "), host, F.lit(" app - - "), sd, F.lit(" "), F.col("_raw")))
 
@@ -284,8 +284,8 @@ _ORIGIN = "CASE event_id % 3 WHEN 0 THEN 'o-' || user_id WHEN 1 THEN 'a\"b' ELSE
 
 @register("q_decode_rfc5424", f"""WITH {EVENTS} SELECT event_id, epoch_us(_time) AS us, _raw, "index", sourcetype, host, {_PARTS} AS source, path AS "partition", CAST(1 AS BIGINT) AS "offset", {_ORIGIN} AS origin FROM t""")
 def decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = syslog.decode(F.col("record"), F.upper("index"), F.col("sourcetype"), F.col("host"), F.col("path"), F.lit(1))
-    return records(spark, sf_dir).select("event_id", *c).withColumn("us", syslog.epoch_micros(F.col("_time"))).drop("_time")
+    out = syslog.decoded(records(spark, sf_dir), F.col("record"), F.upper("index"), F.col("sourcetype"), F.col("host"), F.col("path"), F.lit(1), keep=("event_id",))
+    return out.withColumn("us", syslog.epoch_micros(F.col("_time"))).drop("_time")
 
 
 @register("q_source_archive", f"WITH {EVENTS} SELECT event_id, {_PARTS} AS source FROM t")
@@ -459,12 +459,12 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    from siltstone import generic
+    from siltstone import generic, source_queries
 
-    return QUERIES | generic.QUERIES
+    return QUERIES | generic.QUERIES | source_queries.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    from siltstone import generic
+    from siltstone import generic, source_queries
 
-    return SQL | generic.SQL
+    return SQL | generic.SQL | source_queries.SQL

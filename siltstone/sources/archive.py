@@ -81,7 +81,7 @@ def events(spark: SparkSession, root: str, objects: DataFrame, skip_bad: bool =
         joined = joined.join(first_bad, "key", "left").where("bad is null or offset < bad")
     else:
         joined = joined.withColumn("value", F.when(good, F.col("value")).otherwise(F.raise_error(F.concat(F.lit("not a record in "), "key")).cast("string")))
-    return joined.select(*syslog.decode(F.col("value"), F.col("directory"), F.col("stream"), F.col("host"), F.col("id"), F.col("offset")))
+    return syslog.decoded(joined, F.col("value"), F.col("directory"), F.col("stream"), F.col("host"), F.col("id"), F.col("offset"))
 
 
 def _stand_in(objects: DataFrame, time: Column, raw: Column, offset: Column, source: Column, origin: Column, lower: bool) -> DataFrame:
