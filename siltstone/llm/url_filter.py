@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +21,9 @@ from siltstone.llm.common import Scratch, lower_ascii
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 #: Hosts that are blocked, with their subdomains, where no rule fits.
 LISTED_HOSTS = tuple(f"{name}.example.{top}" for name in ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm") for top in ("com", "net", "org"))
-#: Bits that all levels together may hold; they travel inside the plan. More listed keys are joined instead.
-MAX_BITS = 1 << 23
+#: Bits of a level that travel inside the plan as a constant. Those of a larger level are written out and come as scalar subqueries, so
+#: many words of 64 bits each.
+MAX_BITS, CHUNK_WORDS = 1 << 23, 1 << 20
 
 
 def url_host(url: Column) -> Column:
@@ -49,22 +50,29 @@ def suffixes(host: Column) -> Column:
 
 @dataclass(frozen=True)
 class Level:
-    """One Bloom filter: ``words`` of 64 bits, of which ``bits`` are in use; ``hashes`` bits a key."""
+    """One Bloom filter: ``words`` of 64 bits in arrays of ``chunk`` words, of which ``bits`` are in use; ``hashes`` bits a key."""
 
     salt: int
     bits: int
     hashes: int
-    words: tuple[int, ...]
+    words: tuple[Column, ...] = ()
+    chunk: int = CHUNK_WORDS
 
     def positions(self, key: Column) -> list[Column]:
         return [F.pmod(F.xxhash64(key, F.lit(self.salt * 64 + i)), F.lit(self.bits)) for i in range(self.hashes)]
 
+    def _word(self, k: Column) -> Column:
+        if len(self.words) == 1:
+            return F.get(self.words[0], k)
+        found = F.when(k < self.chunk, F.get(self.words[0], k))
+        for i, words in enumerate(self.words[1:], 1):
+            found = found.when(k < (i + 1) * self.chunk, F.get(words, k - i * self.chunk))
+        return found
+
     def has(self, key: Column) -> Column:
-        text = ",".join(map(str, self.words))
-        words = F.split(F.lit(text), ",").cast("array<bigint>")  # a constant: folded once
         found = F.lit(True)
         for p in self.positions(key):
-            found = found & (_bit(F.get(words, F.shiftrightunsigned(p, 6).cast("int")), p) == 1)
+            found = found & (_bit(self._word(F.shiftrightunsigned(p, 6).cast("int")), p) == 1)
         return found
 
 
@@ -72,31 +80,44 @@ def _bit(word: Column, position: Column) -> Column:
     return F.call_function("getbit", word, (position % 64).cast("int"))
 
 
-def build_cascade(keys: DataFrame, max_bits: int = MAX_BITS) -> list[Level] | None:
-    """The levels for ``keys`` (key string, listed boolean; each key once); None if they'd need over ``max_bits``.
+def _words(set_bits: DataFrame, n: int, scratch: Scratch, max_bits: int, chunk: int) -> tuple[Column, ...]:
+    """The words of a filter from rows (w, b): a constant, or for a larger one an array a chunk, each the row of a table of its own."""
+    if n * 64 <= max(64, max_bits):
+        words = [0] * n
+        for r in set_bits.collect():  # at most max_bits / 64 rows
+            words[r.w] = r.b
+        return (F.split(F.lit(",".join(map(str, words))), ",").cast("array<bigint>"),)  # folded once
+    saved = scratch.save(set_bits)
+    out = []
+    for low in range(0, n, chunk):
+        dense = scratch.spark.range(low, min(n, low + chunk)).join(saved.where((F.col("w") >= low) & (F.col("w") < low + chunk)), F.col("id") == F.col("w"), "left")
+        row = dense.agg(F.sort_array(F.collect_list(F.struct("id", F.coalesce("b", F.lit(0).cast("bigint")).alias("b")))).alias("x"))  # one chunk
+        out.append(scratch.save(row.select(F.col("x.b").alias("words"))).scalar())
+    return tuple(out)
+
+
+def build_cascade(keys: DataFrame, max_bits: int = MAX_BITS, chunk: int = CHUNK_WORDS) -> list[Level]:
+    """The levels for ``keys`` (key string, listed boolean; each key once).
 
     Two counts fix the size of level 1, so that it wrongly takes about half as many keys as are listed;
     later levels take half of the keys wrongly. All told that's about 1.5 * log2(keys / listed) + 6 bits a listed key.
     """
+    scratch = Scratch(keys.sparkSession)
     n = {r.listed: r.n for r in keys.groupBy("listed").agg(F.count("*").alias("n")).collect()}
     listed, others = n.get(True, 0), n.get(False, 0)
     levels: list[Level] = []
     wrong = F.lit(True)  # of the keys on the side to encode: taken by all levels so far
-    side, count, total = True, listed, 0
+    side, count = True, listed
     rate = min(0.5, listed * math.sqrt(0.5) / max(1, others))
     while count:
+        if len(levels) == 64:  # each level halves what is wrong, so that even 2**64 keys end before
+            raise RuntimeError("the cascade doesn't end")
         bits = max(64, math.ceil(count * math.log2(1 / rate) / math.log(2)))
-        if total + bits > max_bits or len(levels) == 64:
-            return None
-        level = Level(len(levels) + 1, bits, max(1, round(math.log2(1 / rate))), ())
+        level = Level(len(levels) + 1, bits, max(1, round(math.log2(1 / rate))), chunk=chunk)
         at = keys.where((F.col("listed") == side) & wrong).select(F.explode(F.array(*level.positions(F.col("key")))).alias("p"))
         set_bits = at.groupBy(F.shiftrightunsigned("p", 6).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("b"))
-        words = [0] * ((bits + 63) // 64)
-        for r in set_bits.collect():  # at most bits / 64 rows
-            words[r.w] = r.b
-        level = Level(level.salt, bits, level.hashes, tuple(words))
+        level = replace(level, words=_words(set_bits, (bits + 63) // 64, scratch, max_bits, chunk))
         levels.append(level)
-        total += bits
         wrong = wrong & level.has(F.col("key"))
         side = not side
         count = keys.where((F.col("listed") == side) & wrong).count()
@@ -113,15 +134,15 @@ def in_cascade(levels: Sequence[Level], key: Column, k: int = 0) -> Column:
 
 
 def url_filter(
-    pages: DataFrame, rules: Iterable[tuple[str, str, str]] = RULES, listed: Iterable[str] | DataFrame = LISTED_HOSTS, id_column: str = "page_id", url_column: str = "url", max_bits: int = MAX_BITS
+    pages: DataFrame, rules: Iterable[tuple[str, str, str]] = RULES, listed: Iterable[str] | DataFrame = LISTED_HOSTS, id_column: str = "page_id", url_column: str = "url", max_bits: int = MAX_BITS, chunk: int = CHUNK_WORDS
 ) -> DataFrame:
     """Judge each url: (id, host, path, rule, verdict), a row for each row of ``pages``.
 
-    The longest fitting rule decides (a rule fits its host and subdomains if the path starts with the rule's);
-    without one, a url is blocked if its host or a domain above it is in ``listed`` (strings, or a DataFrame
-    with a column ``host``). Null, empty and odd urls have an empty host, which no rule and no list holds:
-    they are allowed. Repeated rows are judged each; other columns of ``pages`` are left out; an empty
-    table gives an empty result.
+    The longest fitting rule decides (a rule fits its host and subdomains if the path starts with the rule's; of equally long ones the
+    first by text, and of two verdicts for one rule ``allow``); without one, a url is blocked if its host or a domain above it is in
+    ``listed`` (strings, or a DataFrame with a column ``host``), of any size. Null, empty and odd urls have an empty host, which no rule
+    and no list holds: they are allowed. Very long urls are taken whole. Repeated rows are judged each; other columns of ``pages`` are
+    left out; an empty table gives an empty result.
     """
     spark = pages.sparkSession
     scratch = Scratch(spark)
@@ -131,17 +152,19 @@ def url_filter(
         listed = _strings(spark, sorted({x for x in listed if x}))
     on_list = listed.select(lower_ascii(F.col("host")).alias("key")).where("key <> ''").distinct().withColumn("found", F.lit(True))
     keys = scratch.save(universe.join(on_list, "key", "left").select("key", F.col("found").isNotNull().alias("listed")))
-    levels = build_cascade(keys, max_bits)
+    levels = build_cascade(keys, max_bits, chunk)
     host, path = F.col("host"), F.col("path")
-    if levels is not None:
-        blocked = F.exists(suffixes(host), lambda s: in_cascade(levels, s)) if levels else F.lit(False)
+    if levels and len(levels[0].words) == 1:
+        judged = judged.withColumn("blocked", F.exists(suffixes(host), lambda s: in_cascade(levels, s)))
+    else:  # subqueries can't stand within a function of an array: one test for each of as many domains as a host may have above it
+        judged = judged.withColumn("of", suffixes(host))
+        most = judged.agg(F.coalesce(F.max(F.size("of")), F.lit(0))).first()[0] if levels else 0
+        blocked = F.lit(False)
+        for k in range(most):
+            blocked = blocked | F.coalesce(in_cascade(levels, F.get("of", F.lit(k))), F.lit(False))
         judged = judged.withColumn("blocked", blocked)
-    else:  # more listed keys than the plan may carry: the distinct hosts meet them in a shuffle
-        hosts = judged.select("host").distinct().select("host", F.explode(suffixes(F.col("host"))).alias("key"))
-        bad = hosts.join(keys.where("listed"), "key", "left_semi").select("host").distinct().withColumn("blocked", F.lit(True))
-        judged = judged.join(bad, "host", "left").withColumn("blocked", F.coalesce("blocked", F.lit(False)))
     rule = verdict = None
-    for said, rule_host, rule_path in sorted(rules, key=lambda r: -len(r[1] + r[2])):
+    for said, rule_host, rule_path in sorted(rules, key=lambda r: (-len(r[1] + r[2]), r[1] + r[2], r[0])):
         fits = ((host == rule_host) | host.endswith(f".{rule_host}")) & path.startswith(rule_path)
         rule = F.when(fits, rule_host + rule_path) if rule is None else rule.when(fits, rule_host + rule_path)
         verdict = F.when(fits, said) if verdict is None else verdict.when(fits, said)
