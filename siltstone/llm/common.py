@@ -84,6 +84,7 @@ class Scratch:
             self._delete(df.scratch_path)
 
     def clear(self) -> None:
+        atexit.unregister(self.clear)
         if self.spark.sparkContext._jsc is not None:
             try:
                 self._delete(self.folder)
@@ -96,11 +97,21 @@ class Scratch:
         where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+#: Rows (a few numbers each) that may be broadcast, of tables whose rows are counted.
+BROADCAST_ROWS = 400_000
+
+
+def small(saved: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A saved table, to be broadcast if it has few rows; beyond, Spark joins by a shuffle and splits what is skewed."""
+    return F.broadcast(saved) if saved.count() <= most else saved
+
+
 def shuffle_count(spark: SparkSession, df: DataFrame, times: float = 1.0, target: int = 32 << 20) -> int:
     """Partitions for a shuffle of about ``times`` the input's bytes, ``target`` bytes each.
 
     Never fewer than the session's own setting, which counts alone where Spark knows no size; it grows with the input,
-    so one partition doesn't.
+    so one partition doesn't. Beyond 100,000, where the driver's own book-keeping would be the limit, partitions grow; what reads
+    them takes them in sorted order, a bounded part at a time.
     """
     own = int(spark.conf.get("spark.sql.shuffle.partitions"))
     size = float(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

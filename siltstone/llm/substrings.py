@@ -5,7 +5,8 @@ at cover positions modulo the period, as every difference modulo the period occu
 windows share an anchor (a shorter window) at a cover position of each, and only 4 of 13 positions are hashed:
 
 1. Anchors at cover positions meet by hash. Those that occur twice mark the windows that hold them.
-2. Only marked windows are hashed whole (96 bits) and meet by hash; all but the first occurrence are repeats.
+2. Only marked windows are hashed whole (96 bits, of two lanes that are independent from the words' bytes on) and meet by hash; all but
+   the first occurrence are repeats.
 3. The words that repeats cover are cut.
 
 No pairs are made: within a slice of documents equal hashes are settled at once and one of them goes on, so a hash
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.common import Scratch, shuffle_count
-from siltstone.llm.wordhash import Words, slices
+from siltstone.llm.wordhash import Words, give_back, slices
 
 #: Perfect difference covers: every residue is a difference of two members (fixed values).
 COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
@@ -99,6 +100,7 @@ def _anchors(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
             row = w.row[starts]
             keep = chosen[(starts - w.first[row]) % period] & (w.count[row] >= window)
             yield _with_local(h[keep], np.zeros(keep.sum(), np.uint64), w, ids, starts[keep], False, period - 1)
+    give_back()
 
 
 def _marked(part: pa.RecordBatch, w: Words, window: int) -> np.ndarray:
@@ -120,39 +122,50 @@ def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
     for batch in batches:
         for part in slices(batch, "text"):
             part, ids = _known_ids(part.filter(part.column("ranges").is_valid()))
-            w = Words(part.column("text"))
+            w = Words(part.column("text"), lanes=2)
             starts = _marked(part, w, window)
             yield _with_local(w.window_hashes(starts, window), w.window_hashes(starts, window, 1), w, ids, starts, True, 0)
+    give_back()
 
 
 def _meet(batches: Iterator[pa.RecordBatch], later_only: bool, back: int) -> Iterator[pa.RecordBatch]:
-    """Ranges of starts by id: those settled before, and those of hashes that two rows or more of a partition have.
+    """Ranges of starts by id: those settled before, and those of hashes that two rows or more have.
 
-    A partition holds the rows of its hashes, one for each hash and slice; how many partitions there are grows with the input.
+    Rows come sorted by hash (and then by id and start if ``later_only``). One row is carried from batch to batch, so that neither a
+    partition nor a hash that very many slices have is ever held.
     """
-    parts = list(batches)
-    if not parts:
-        return
-    rows = pa.Table.from_batches(parts).combine_chunks()
-    del parts
-    h, g, ids, start, stop = (rows[c].to_numpy() for c in ("h", "g", "id", "start", "stop"))
-    asks = np.flatnonzero(stop < 0)
-    order = asks[np.lexsort((start[asks], ids[asks], g[asks], h[asks]))] if later_only else asks[np.argsort(h[asks], kind="stable")]
-    same = np.zeros(len(order), dtype=bool)
-    same[1:] = (h[order[1:]] == h[order[:-1]]) & (g[order[1:]] == g[order[:-1]])
-    if later_only:
-        first = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
-        lead = order[first] if len(order) else order
-        found = order[same & ((ids[order] != ids[lead]) | (start[order] != start[lead]))]
-    else:
-        group = same.copy()
-        group[:-1] |= same[1:]
-        found = order[group]
-    settled = np.flatnonzero(stop >= 0)
-    out_ids = np.concatenate([ids[settled], ids[found]])
-    packed = np.concatenate([start[settled].astype(np.int64) << 32 | stop[settled], np.maximum(0, start[found] - back).astype(np.int64) << 32 | start[found].astype(np.int64)])
-    for k in range(0, len(out_ids), 1 << 18):
-        yield pa.RecordBatch.from_pydict({"id": pa.array(out_ids[k : k + (1 << 18)], pa.int64()), "range": pa.array(packed[k : k + (1 << 18)], pa.int64())})
+    carry: tuple[np.ndarray, ...] | None = None  # of the last hash: its first row (``later_only``), or its last
+    told = False  # whether that row went out already
+    for batch in batches:
+        h, g, ids, start, stop = (batch.column(c).to_numpy() for c in ("h", "g", "id", "start", "stop"))
+        settled = np.flatnonzero(stop >= 0)
+        asks = np.flatnonzero(stop < 0)
+        out_ids, first, last = [ids[settled]], [start[settled]], [stop[settled]]
+        if len(asks):
+            rows = tuple(x[asks] for x in (h, g, ids, start))
+            if carry is not None:
+                rows = tuple(np.concatenate([c, x]) for c, x in zip(carry, rows, strict=True))
+            ah, ag, aid, at = rows
+            same = np.zeros(len(ah), dtype=bool)
+            same[1:] = (ah[1:] == ah[:-1]) & (ag[1:] == ag[:-1])
+            if later_only:
+                lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(ah))))
+                found = np.flatnonzero(same & ((aid != aid[lead]) | (at != at[lead])))
+                carry = tuple(x[lead[-1:]] for x in rows)
+            else:
+                group = same.copy()
+                group[:-1] |= same[1:]
+                if carry is not None and told:
+                    group[0] = False
+                found = np.flatnonzero(group)
+                told = bool(group[-1]) or (len(group) == 1 and told)
+                carry = tuple(x[-1:] for x in rows)
+            out_ids.append(aid[found])
+            first.append(np.maximum(0, at[found] - back))
+            last.append(at[found])
+        packed = np.concatenate(first).astype(np.int64) << 32 | np.concatenate(last).astype(np.int64)
+        yield pa.RecordBatch.from_pydict({"id": pa.array(np.concatenate(out_ids), pa.int64()), "range": pa.array(packed, pa.int64())})
+    give_back()
 
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int, digest: bool, names: list[str]) -> Iterator[pa.RecordBatch]:
@@ -199,6 +212,7 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int, digest: bool, names: li
                         k = stop
                     texts[r] = "".join(pieces)
                 yield pa.RecordBatch.from_pydict({c: (pa.array(texts, pa.string()) if c == "text" else part.column(c)) for c in names})
+    give_back()
 
 
 def _by_id(ranges: DataFrame) -> DataFrame:
@@ -213,7 +227,8 @@ def substring_dedup(docs: DataFrame, window: int = 20, id_column: str = "doc_id"
     with ``digest`` (id, n_words, n_removed, kept_sha256). Nulls count as empty texts in the digest and stay null
     otherwise; rows without an id are left as they are and count nowhere; rows that share an id count as one document
     whose rows all begin at word 0, so a repeated row isn't a repeat of itself; other columns pass through, whatever their
-    names; an empty table gives an empty result. Ids are integers. Windows are judged on the input, not on what is left.
+    names; an empty table gives an empty result. Ids are integers. Windows are judged on the input, not on what is left. Very long
+    texts are taken whole, one at a time.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
@@ -223,12 +238,12 @@ def substring_dedup(docs: DataFrame, window: int = 20, id_column: str = "doc_id"
     named: list[Column] = [F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text")]
     plain = docs.select(*named)
     period, _ = cover_for(window)
-    shared = plain.mapInArrow(partial(_anchors, window=window), _ROWS).repartition(n, "h").mapInArrow(partial(_meet, later_only=False, back=period - 1), "id bigint, range bigint")
+    shared = plain.mapInArrow(partial(_anchors, window=window), _ROWS).repartition(n, "h").sortWithinPartitions("h", "g").mapInArrow(partial(_meet, later_only=False, back=period - 1), "id bigint, range bigint")
     shared = scratch.save(shared)
     # both uses of the dealt texts take all their columns and no filter, so that one exchange serves both
     dealt = docs.select(*named, *[F.col(f"`{c}`").alias(x) for c, x in zip(others, other_names, strict=True)]).repartition(n, "id")
     asked = dealt.join(_by_id(shared).hint("shuffle_hash"), "id", "left").mapInArrow(partial(_windows, window=window), _ROWS)
-    repeats = asked.repartition(n, "h").mapInArrow(partial(_meet, later_only=True, back=0), "id bigint, range bigint")
+    repeats = asked.repartition(n, "h").sortWithinPartitions("h", "g", "id", "start").mapInArrow(partial(_meet, later_only=True, back=0), "id bigint, range bigint")
     whole = dealt.join(_by_id(repeats).hint("shuffle_hash"), "id", "left")
     if digest:
         out = whole.select("id", "text", "ranges").mapInArrow(partial(_cut, window=window, digest=True, names=[]), "id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
