@@ -3,7 +3,8 @@
 Distinct words go into a trie of bytes, in sorted order, which is the trie's depth-first order. Each node keeps
 one number: the last token of the encoding of the prefix that ends there. It follows from the node's ancestors:
 token t ends the prefix if t's bytes end it and t can stand behind the last token of the prefix before t. So a
-prefix that many words share is encoded once, and a word's encoding is read off backwards along its path.
+prefix that many words share is encoded once, and a word's encoding is read off backwards along its path. The tokens
+that end a prefix are listed by an Aho-Corasick automaton, so that only tokens are tried, not all byte slices.
 """
 
 from __future__ import annotations
@@ -13,16 +14,19 @@ import json
 from collections.abc import Iterator
 from functools import partial
 
+import ahocorasick
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from siltstone.llm.wordhash import slices
+from siltstone.llm.wordhash import give_back, slices
 
 #: How the byte-level scheme cuts text into words (fixed value of the public tokenizer).
 WORD = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Bytes of distinct words and trie nodes that a Python worker keeps between batches; beyond them it starts anew.
-MAX_NODES = 900_000
+#: Trie nodes, bytes of distinct words, and neighbours that a Python worker keeps; beyond them it starts anew, within a slice too.
+MAX_NODES, MAX_BYTES, MAX_PAIRS = 300_000, 8 << 20, 500_000
+#: Words of more bytes share too little to be put into the trie.
+LONG_WORD = 1024
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -53,6 +57,11 @@ class Vocabulary:
             left, right = self.token[a], self.token[b]
             self.order[left << self.shift | right] = k
             self.parts.setdefault(self.token[a + b], (k, left, right))
+        #: Of bytes as Latin-1 characters: (length, token) of all tokens that end at a place.
+        self.matches = ahocorasick.Automaton()
+        for b, i in self.token.items():
+            self.matches.add_word(b.decode("latin-1"), (len(b), i))
+        self.matches.make_automaton()
         self._edges: dict[tuple[int, int], list[tuple[int, int]]] = {}
         self._fits: dict[int, bool] = {}
 
@@ -84,7 +93,7 @@ class Vocabulary:
                     k = order.get(a << self.shift | b, none)
                     if k < a_used and k <= b_used and k < none:
                         said = False
-            if len(self._fits) > 2_000_000:
+            if len(self._fits) > MAX_PAIRS:
                 self._fits.clear()
             self._fits[key] = said
         return said
@@ -101,39 +110,56 @@ class PrefixTrie:
         self.child: dict[int, int] = {}
         self.last: list[int] = [-1]
 
+    def _beyond(self, word: bytes, path: list[int], states: list[int]) -> Iterator[int]:
+        """The last token of each prefix of ``word`` longer than ``path``, whose places in ``states`` the caller adds to ``path`` as they come."""
+        fits, done = self.v.fits, len(path) - 1
+        for end, (length, t) in self.v.matches.iter(word.decode("latin-1"), max(0, done + 1 - self.v.longest)):
+            # of the tokens that end here, longest first, the one that fits; any shorter ones are skipped
+            if end >= done:
+                start = end + 1 - length
+                if start == 0 or (start < len(path) and fits(states[path[start]], t)):
+                    done = end + 1
+                    yield t
+
+    def _ids(self, path: list[int], states: list[int]) -> list[int]:
+        ids, end, names = [], len(path) - 1, self.v.bytes
+        while end:
+            t = states[path[end]]
+            ids.append(t)
+            end -= len(names[t])
+        ids.reverse()
+        return ids
+
     def encode_sorted(self, words: list[bytes]) -> Iterator[list[int]]:
         """The token ids of each word; words in order, so that each continues the path of the one before."""
-        v, child, last = self.v, self.child, self.last
-        token, fits, names, longest = v.token, v.fits, v.bytes, v.longest
         path, before = [0], b""
         for word in words:
+            if len(word) > LONG_WORD:
+                states, own = [-1], [0]
+                for t in self._beyond(word, own, states):
+                    own.append(len(states))
+                    states.append(t)
+                yield self._ids(own, states)
+                continue
+            if len(self.last) > MAX_NODES:
+                self.clear()
+                path, before = [0], b""
+            child, last = self.child, self.last
             n = len(word)
             k, top = 0, min(n, len(before))
             while k < top and word[k] == before[k]:
                 k += 1
             del path[k + 1 :]
-            node = path[k]
-            for end in range(k + 1, n + 1):
-                key = node << 8 | word[end - 1]
-                below = child.get(key)
-                if below is None:
-                    for start in range(max(0, end - longest), end):
-                        t = token.get(word[start:end])
-                        if t is not None and (start == 0 or fits(last[path[start]], t)):
-                            break
-                    below = len(last)
-                    child[key] = below
+            while k < n and (below := child.get(path[k] << 8 | word[k])) is not None:
+                path.append(below)
+                k += 1
+            if k < n:
+                for t in self._beyond(word, path, last):
+                    child[path[-1] << 8 | word[len(path) - 1]] = len(last)
+                    path.append(len(last))
                     last.append(t)
-                node = below
-                path.append(node)
             before = word
-            ids, end = [], n
-            while end:
-                t = last[path[end]]
-                ids.append(t)
-                end -= len(names[t])
-            ids.reverse()
-            yield ids
+            yield self._ids(path, last)
 
 
 class Encoder:
@@ -148,6 +174,7 @@ class Encoder:
         self.count: dict[str, int] = {}
         self.ids: dict[str, str] = {}
         self.decoded: dict[str, bytes] = {}
+        self.bytes = 0
         self._specials()
 
     def _specials(self) -> None:
@@ -159,23 +186,29 @@ class Encoder:
             return self.find(text)
         return [w for part in self.split(text) if part for w in ((part,) if part in self.v.special else self.find(part))]
 
+    def clear(self) -> None:
+        """Forget all words."""
+        self.trie.clear()
+        self.bytes = 0
+        for known in (self.count, self.ids, self.decoded):
+            known.clear()
+        self._specials()
+
     def learn(self, texts: list[list[str]]) -> None:
         """Encode the words of a batch that aren't known yet."""
-        if len(self.trie.last) > MAX_NODES:
-            self.trie.clear()
-            for known in (self.count, self.ids, self.decoded):
-                known.clear()
-            self._specials()
+        if self.bytes > MAX_BYTES:
+            self.clear()
         new: set[str] = set()
         for words in texts:
             new.update(words)
         new.difference_update(self.count)
         pairs = sorted((w.encode(), w) for w in new)
         names, digits = self.v.bytes.__getitem__, self.digits.__getitem__
-        for (_, w), ids in zip(pairs, self.trie.encode_sorted([b for b, _ in pairs]), strict=True):
+        for (b, w), ids in zip(pairs, self.trie.encode_sorted([b for b, _ in pairs]), strict=True):
             self.count[w] = len(ids)
             self.ids[w] = ",".join(map(digits, ids))
             self.decoded[w] = b"".join(map(names, ids))
+            self.bytes += len(b) + 64
 
 
 _encoders: dict[str, Encoder] = {}
@@ -205,6 +238,9 @@ def _encode_batches(batches: Iterator[pa.RecordBatch], vocabulary, text_column:
             columns["ids_sha256"] = pa.array([hashlib.sha256(j.encode()).hexdigest() for j in joined], pa.string())
             columns["decoded_sha256"] = pa.array([hashlib.sha256(_valid(b"".join(map(decoded, w)))).hexdigest() for w in split], pa.string())
             yield pa.RecordBatch.from_pydict(columns)
+            del split, joined, columns
+    e.clear()  # the worker stays, and what it holds counts against the next stage
+    give_back()
 
 
 def _valid(raw: bytes) -> bytes:
