@@ -1,8 +1,8 @@
 """Toxicity by FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-Words, word pairs and pairs with one word between are hashed into 2**20 places. One task learns from a bounded
-sample of labelled rows; each place has its own learning rate, and L1 leaves few weights other than 0, which are
-broadcast and summed over whole texts.
+Words, word pairs and pairs with one word between are hashed into 2**20 places. The features of a bounded sample of labelled
+rows are made where the rows lie; one task makes the updates, in order. Each place has its own learning rate, and L1 leaves few
+weights other than 0, which are broadcast and summed over whole texts.
 """
 
 from __future__ import annotations
@@ -16,14 +16,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.wordhash import IS_MARK, U64, Words, mix, slices
+from siltstone.llm.common import Scratch
+from siltstone.llm.wordhash import IS_MARK, U64, Words, give_back, mix, slices
 
 BITS = 20
 
 
 @dataclass(frozen=True)
 class Settings:
-    """Of the learner. ``max_rows`` bounds the labelled rows it sees (those with the smallest hash of their id)."""
+    """Of the learner. ``max_rows`` bounds the labelled ids it sees (those with the smallest hash), one row each."""
 
     max_rows: int = 20_000
     epochs: int = 8
@@ -84,33 +85,54 @@ def _rows(w: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield np.append(own, 1 << BITS), np.append(1 + np.log(count), 1.0)
 
 
-def _train(batches: Iterator[pa.RecordBatch], settings: Settings) -> Iterator[pa.RecordBatch]:
-    model, sample = Ftrl(settings), []
+def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places and counts of each row as bytes: what a row takes is bounded by the number of places, however long its text."""
     for batch in batches:
         for part in slices(batch, "text"):
-            labels = part.column("label").to_pylist()
-            for (at, x), label in zip(_rows(Words(part.column("text"), lower=True, breaks=IS_MARK)), labels, strict=True):
-                if len(sample) < 2 * settings.max_rows:  # ids may repeat
-                    sample.append((at.astype(np.int32), x.astype(np.float32), label))
+            rows = list(_rows(Words(part.column("text"), lower=True, breaks=IS_MARK)))
+            at = pa.array([x.astype(np.int32).tobytes() for x, _ in rows], pa.binary())
+            value = pa.array([x.astype(np.float32).tobytes() for _, x in rows], pa.binary())
+            yield pa.RecordBatch.from_pydict({"id": part.column("id"), "label": part.column("label"), "at": at, "value": value})
+    give_back()
+
+
+def learn(rows: list[tuple[np.ndarray, np.ndarray, int]], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """The places with a weight, and their weights, after all epochs over rows (places, values, label)."""
+    model = Ftrl(settings)
     for _ in range(settings.epochs):
-        for at, x, label in sample:
+        for at, x, label in rows:
             model.learn(at, x, label)
     at = np.arange((1 << BITS) + 1)
     w = model.weights(at)
     at = at[w != 0]
-    yield pa.RecordBatch.from_pydict({"place": pa.array(at, pa.int32()), "weight": pa.array(w[at], pa.float64())})
+    return at, w[at]
+
+
+def _train(batches: Iterator[pa.RecordBatch], settings: Settings) -> Iterator[pa.RecordBatch]:
+    rows: list[tuple[np.ndarray, np.ndarray, int]] = []
+    for batch in batches:
+        columns = (batch.column(c).to_pylist() for c in ("at", "value", "label"))
+        rows += [(np.frombuffer(at, np.int32), np.frombuffer(x, np.float32), label) for at, x, label in zip(*columns, strict=True)]
+    at, w = learn(rows, settings)
+    del rows
+    yield pa.RecordBatch.from_pydict({"place": pa.array(at, pa.int32()), "weight": pa.array(w, pa.float64())})
+    give_back()
 
 
 def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic") -> DataFrame:
     """Weights (place, weight) learned from at most ``settings.max_rows`` labelled ids, in one task.
 
-    An id with several labels counts as toxic if one of them says so; null labels and ids without a text are left out.
+    An id with several labels counts as toxic if one of them says so, and of several texts the first in order is learned from;
+    null labels and ids without a text are left out.
     """
     own = labels.where(F.col(label_column).isNotNull() & F.col(id_column).isNotNull()).groupBy(F.col(id_column).alias("id")).agg(F.max(F.col(label_column).cast("int")).alias("label"))
     sample = own.orderBy(F.xxhash64("id"), "id").limit(settings.max_rows)
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    joined = texts.join(F.broadcast(sample), "id").repartition(1).sortWithinPartitions(F.xxhash64("id"), "id", "text")
-    return joined.select("text", "label").mapInArrow(partial(_train, settings=settings), "place int, weight double")
+    joined = texts.join(F.broadcast(sample), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
+    kind = docs.schema[id_column].dataType.simpleString()
+    featured = Scratch(docs.sparkSession).save(joined.mapInArrow(_featured, f"id {kind}, label int, at binary, value binary"))
+    ordered = featured.repartition(1).sortWithinPartitions(F.xxhash64("id"), "id")
+    return ordered.select("at", "value", "label").mapInArrow(partial(_train, settings=settings), "place int, weight double")
 
 
 def _score(batches: Iterator[pa.RecordBatch], weights, text_column: str, keep: list[str]) -> Iterator[pa.RecordBatch]:
@@ -127,6 +149,7 @@ def _score(batches: Iterator[pa.RecordBatch], weights, text_column: str, keep: l
             total = np.bincount(key >> (BITS + 1), weights=dense[key & ((1 << BITS) - 1)] * (1 + np.log(count)), minlength=part.num_rows) + bias
             score = 1 / (1 + np.exp(-np.clip(total, -700, 700)))
             yield pa.RecordBatch.from_pydict({c: part.column(c) for c in keep} | {"score": pa.array(score, pa.float64())})
+    give_back()
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), threshold: float = 0.7, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic") -> DataFrame:
