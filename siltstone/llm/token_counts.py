@@ -15,7 +15,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from siltstone.llm.wordhash import slices
+from siltstone.llm.wordhash import give_back, slices
 
 SPACE = "▁"
 #: How far below the worst piece a character without a piece scores (fixed value of the public tokenizers).
@@ -105,6 +105,8 @@ def _count(batches: Iterator[pa.RecordBatch], vocabulary, text_column: str, keep
         for part in slices(batch, text_column):
             counts = [counter.text(t or "") for t in part.column(text_column).to_pylist()]
             yield pa.RecordBatch.from_pydict({c: part.column(c) for c in keep} | {"n_tokens": pa.array(counts, pa.int64())})
+    counter.known.clear()  # the worker stays, and what it holds counts against the next stage
+    give_back()
 
 
 def token_counts(docs: DataFrame, vocabulary: list[tuple[str, float]] | None = None, text_column: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
