@@ -1,7 +1,8 @@
 """Licence scans by sparse TF-IDF cosine, with inheritance from the nearest directory (DataFrame functions only).
 
-Lines that speak of a licence, anywhere in a text, and windows of the text's terms around each word that does are compared
-to templates of licence notices: terms are weighted by how rare they are among all such lines of the corpus, and the template
+Of each text that speaks of a licence its header (the first terms, over line breaks and comment marks), of a licence file the whole
+text, lines that speak, and windows of the text's terms around each word that does are compared to templates: notices and whole
+licence texts. Terms are weighted by how rare they are among all headers, files and lines of the corpus that speak, and the template
 of the highest cosine names the licence. Windows run on over line breaks, so that a notice is found inside a longer line as well
 as over several lines. A file without a licence of its own has that of the licence file in the nearest directory above it.
 """
@@ -38,6 +39,68 @@ TEMPLATES = (
     *((name, f"SPDX-License-Identifier: {name}") for name in ("Apache-2.0", "MIT", "BSD-3-Clause", "BSD-2-Clause", "MPL-2.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC0-1.0", "Unlicense")),
     *((name, f"SPDX-License-Identifier: {name}{end}") for name in ("GPL-3.0", "GPL-2.0", "LGPL-3.0", "AGPL-3.0") for end in ("", "-only", "-or-later")),
 )
+#: Whole texts, and long headers, of public licences (fixed values): headers and licence files are compared to these too.
+FULL_TEXTS = (
+    (
+        "MIT",
+        "MIT License Copyright (c) Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, "
+        "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
+        "following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR "
+        "IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+        "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+    (
+        "ISC",
+        "ISC License Copyright (c) Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in "
+        "all copies. THE SOFTWARE IS PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY "
+        "SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION "
+        "WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    ),
+    (
+        "BSD-2-Clause",
+        "BSD 2-Clause License Copyright (c) Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain "
+        "the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.",
+    ),
+    (
+        "BSD-3-Clause",
+        "BSD 3-Clause License Copyright (c) Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain "
+        "the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without "
+        "specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.",
+    ),
+    (
+        "Apache-2.0",
+        "Copyright Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at Unless required by applicable law or agreed to "
+        "in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and "
+        "limitations under the License.",
+    ),
+    (
+        "GPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
+        "later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public "
+        "License for more details.",
+    ),
+    (
+        "GPL-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any "
+        "later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public "
+        "License for more details.",
+    ),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at",
+    ),
+    (
+        "Unlicense",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+        "purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain.",
+    ),
+)
+#: Terms of a text that are its header: of a few sentences, and of a whole notice with its conditions.
+HEADERS = (80, 180)
+#: Templates of at most so many terms are windows too; the longer ones are met by headers and files alone.
+WINDOW_TERMS = 48
 #: What makes a line worth comparing.
 SPEAKS = r"(?i)licen[sc]e|copyright|permission is hereby|public domain|redistribution|free software|\bCC[ -]BY\b|\bCC0\b|SPDX"
 #: The same over line breaks and what a comment begins its lines with.
@@ -118,21 +181,26 @@ def _weights(lines: DataFrame, key: list[str], idf: DataFrame) -> tuple[DataFram
     return each, norm
 
 
-def own_licences(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", templates=TEMPLATES, min_cosine: float = MIN_COSINE) -> DataFrame:
-    """(id, licence, score) of the documents with a line or a window of terms that a template fits; ties go to the licence's name.
+def own_licences(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", templates=TEMPLATES, min_cosine: float = MIN_COSINE, full_texts=FULL_TEXTS, is_file: Column | None = None) -> DataFrame:
+    """(id, licence, score) of the documents with a header, line or window of terms (of licence files, as ``is_file`` says: or a whole text) that a template fits; ties go to the licence's name.
 
     A template that stands in a text word for word is found whatever surrounds it, for one of the windows is just as long.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
     text = F.col(text_column)
-    samples = F.array(*[F.struct(F.lit(k).alias("template"), F.lit(name).alias("licence"), F.lit(body).alias("line")) for k, (name, body) in enumerate(templates)])
+    samples = F.array(*[F.struct(F.lit(k).alias("template"), F.lit(name).alias("licence"), F.lit(body).alias("line")) for k, (name, body) in enumerate([*templates, *full_texts])])
     samples = spark.range(1).select(F.explode(samples).alias("t")).select("t.template", "t.licence", terms(F.col("t.line")).alias("terms"), marked_terms(F.col("t.line")).alias("marked"))
     shapes = [(next((i for i, w in enumerate(r.marked) if MARK in w), None), len(r.marked)) for r in samples.collect()]
-    spans = sorted({(i, n - 1 - i) for i, n in shapes if i is not None} | {(n, n) for n in RADII})
+    spans = sorted({(i, n - 1 - i) for i, n in shapes if i is not None and n <= WINDOW_TERMS} | {(n, n) for n in RADII})
+    short = [k for k, (_, n) in enumerate(shapes) if n <= WINDOW_TERMS]
     speaking = docs.where(F.col(id_column).isNotNull() & text.rlike(SPEAKS_OVER_LINES))
     around = _contexts(text, max(b for b, _ in spans), max(a for _, a in spans))
-    said = scratch.save(speaking.select(F.col(id_column).alias("id"), F.filter(F.split(text, "\n"), lambda x: x.rlike(SPEAKS)).alias("lines"), around.alias("contexts")))
+    some = lambda c, when: F.when(when, F.array(c)).otherwise(F.array().cast("array<string>"))
+    headers = F.transform(F.array(*map(F.lit, HEADERS)), lambda n: F.array_join(F.slice(terms(text), F.lit(1), n), " "))
+    whole = F.lit(False) if is_file is None else F.coalesce(is_file, F.lit(False))
+    units = F.concat(F.filter(F.split(text, "\n"), lambda x: x.rlike(SPEAKS)), F.filter(headers, lambda h: h.rlike(SPEAKS)), some(F.array_join(terms(text), " "), whole))
+    said = scratch.save(speaking.select(F.col(id_column).alias("id"), F.array_distinct(units).alias("lines"), around.alias("contexts")))
     # lines repeat a great deal: each different one is compared once
     lines = said.select("id", F.explode("lines").alias("line")).distinct()
     counted = scratch.save(lines.groupBy("line").agg(F.count("*").alias("n")).select("line", "n", terms(F.col("line")).alias("terms")))
@@ -148,7 +216,8 @@ def own_licences(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     dots = x.join(F.broadcast(named), "term").groupBy("line", "template", "licence").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
     scored = dots.join(x_norm, "line").select("line", "licence", F.round(F.col("dot") / F.col("norm"), 6).alias("score")).where(F.col("score") >= min_cosine)
     best = scored.groupBy("line").agg(F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("b"))
-    windows = said.select("id", F.inline("contexts")).select("id", _best_window(spans, named.collect(), idf.collect(), min_cosine).alias("b")).where("b is not null")
+    notices = named.where(F.col("template").isin(short)).collect()
+    windows = said.select("id", F.inline("contexts")).select("id", _best_window(spans, notices, idf.collect(), min_cosine).alias("b")).where("b is not null")
     fits = lines.join(best, "line").select("id", "b").union(windows)
     per_doc = fits.groupBy("id").agg(F.min("b").alias("b"))
     return per_doc.select(F.col("id").alias(id_column), F.col("b.licence").alias("licence"), (-F.col("b.s")).alias("score"))
@@ -160,13 +229,14 @@ def licence_scan(docs: DataFrame, path: Column, id_column: str = "doc_id", text_
     ``path`` gives a file's path with ``/`` between directories; null counts as the empty path, which has no directory.
     Null and empty texts have no licence of their own. Of several licence files in one directory the one with the
     best score counts, then the first name. Rows that share an id share its licence; rows without an id have only an inherited one.
-    Other columns are not returned; an empty table gives an empty result.
+    Other columns are not returned; an empty table gives an empty result. Very long texts are read whole.
 
-    Texts are read once, in a narrow pass that keeps the speaking lines and a bounded number of terms around each speaking word. Directories are made distinct before their ancestors (as
+    Texts are read once, in a narrow pass that keeps headers, licence files and lines that speak, and a bounded number of terms around each speaking word. Directories are made distinct before their ancestors (as
     many as a path is deep) are joined, so a directory's files cost it one row; files then join their own directory.
     """
     scratch = Scratch(docs.sparkSession)
-    own = scratch.save(own_licences(docs, id_column, text_column, templates, min_cosine).select(F.col(id_column).alias("id"), "licence", "score"))
+    is_file = F.regexp_extract(path, "([^/]*)$", 1).rlike(LICENCE_FILE)
+    own = scratch.save(own_licences(docs, id_column, text_column, templates, min_cosine, is_file=is_file).select(F.col(id_column).alias("id"), "licence", "score"))
     files = docs.select(F.col(id_column).alias("id"), F.coalesce(path, F.lit("")).alias("path"))
     files = files.select("id", "path", F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("dir"), F.regexp_extract("path", "([^/]*)$", 1).alias("name"))
     marked = scratch.save(files.join(own, "id", "left"))
