@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -61,20 +62,34 @@ def message(value: Column) -> Column:
     return field(value, 9)
 
 
+def _odd_quotes(text: Column) -> Column:
+    return (F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))) % 2 == 1
+
+
 def element(sd: Column, name: str) -> Column:
     """The parameters of the first element of some id, as they are written; null if there is none.
 
-    What stands within quotes can't look like an element or a parameter, as quotes and closing brackets are escaped there.
+    Where nothing is escaped the element is cut out at its brackets, unless one of them stands within quotes; else a pattern finds it.
     """
-    found = F.regexp_extract(sd, rf'\[\Q{name}\E((?: [^ =\]"]+={_QUOTED})*+)\]', 1)
-    return F.when(F.contains(sd, F.lit(f"[{name}")) & sd.rlike(rf'\[\Q{name}\E(?: [^ =\]"]+={_QUOTED})*+\]'), found)
+    pattern = rf'\[\Q{name}\E((?: [^ =\]"]+={_QUOTED})*+)\]'
+    closed, opens = F.concat(F.lit("]"), sd), f"][{name} "
+    at = F.instr(closed, opens)
+    inner = F.substring_index(F.substring(closed, at + F.lit(len(opens) - 1), F.length(closed)), "]", 1)
+    odd = F.contains(sd, F.lit("\\")) | (at == 0) | _odd_quotes(inner) | _odd_quotes(F.substring(closed, F.lit(1), at))
+    return F.when(~F.contains(sd, F.lit(f"[{name}")), F.lit(None)).when(~odd, inner).when(sd.rlike(pattern), F.regexp_extract(sd, pattern, 1))
 
 
-def param(params: Column, name: str) -> Column:
-    """One of an element's parameters, with its escapes undone; null if there is none."""
-    found = F.regexp_extract(params, rf' \Q{name}\E="((?:[^"\\]++|\\.)*+)"', 1)
-    plain = F.when(F.contains(found, F.lit("\\")), F.regexp_replace(found, r'\\(["\\\]])', "$1")).otherwise(found)
-    return F.when(F.contains(params, F.lit(f' {name}="')), plain)
+def param(params: Column, name: str, pieces: Column | None = None) -> Column:
+    """One of an element's parameters, with its escapes undone; null if there is none.
+
+    Where nothing is escaped it is the piece between quotes that follows the name (``pieces``: the parameters cut at quotes); else the
+    parameters before it are matched whole, so that a value can't pass for a name.
+    """
+    pattern = rf'^(?: [^ =\]"]+={_QUOTED})*? \Q{name}\E="((?:[^"\\]++|\\.)*+)"'
+    matched = F.when(params.rlike(pattern), F.regexp_replace(F.regexp_extract(params, pattern, 1), r'\\(["\\\]])', "$1"))
+    pieces = F.split(params, '"') if pieces is None else pieces
+    at = F.array_position(pieces, f" {name}=").cast("int")
+    return F.when(F.contains(params, F.lit("\\")), matched).when(at % 2 == 1, F.get(pieces, at)).when(at > 0, matched)
 
 
 def sd_get(sd: Column, name: str, key: str) -> Column:
@@ -91,14 +106,15 @@ def source(sd: Column, tail_rule: bool = False, ids: Ids = IDS) -> Column:
 
     With ``tail_rule`` the third part falls back only where the source element has no host name, as the live tail had it.
     """
-    return _source(element(sd, ids.source), element(sd, ids.relay), tail_rule)
+    own, relay = element(sd, ids.source), element(sd, ids.relay)
+    return _source(lambda p: param(own, p), lambda p: param(relay, p), tail_rule)
 
 
-def _source(own: Column, relay: Column, tail_rule: bool) -> Column:
-    part = lambda p: F.coalesce(param(own, p), param(relay, p), F.lit(""))
+def _source(own: Callable[[str], Column], relay: Callable[[str], Column], tail_rule: bool) -> Column:
+    part = lambda p: F.coalesce(own(p), relay(p), F.lit(""))
     last = part("source")
     if tail_rule:
-        last = F.when(param(own, "hostname").isNull(), F.coalesce(param(relay, "source"), F.lit(""))).otherwise(F.coalesce(param(own, "source"), F.lit("")))
+        last = F.when(own("hostname").isNull(), F.coalesce(relay("source"), F.lit(""))).otherwise(F.coalesce(own("source"), F.lit("")))
     return F.concat_ws(":", part("source_module"), part("hostname"), last)
 
 
@@ -117,12 +133,14 @@ def decoded(events: DataFrame, value: Column, index: Column, sourcetype: Column,
     wanted = {"_source": ids.source, "_relay": ids.relay, "_origin": ids.origin} | ({"_tenant": ids.tenant} if tail else {})
     bare = F.length("_sd") < 3  # nothing, or "-"
     out = out.select(*keep, "_of", "_text", "_host", "_raw", *[F.when(~bare, element(F.col("_sd"), name)).alias(c) for c, name in wanted.items()])
+    out = out.select(*keep, "_of", "_text", "_host", "_raw", *wanted, *[F.split(c, '"').alias(f"{c}_pieces") for c in wanted])
+    of = lambda c: lambda p: param(F.col(c), p, F.col(f"{c}_pieces"))
     if tail:
-        of_tenant = lambda p: F.coalesce(param(F.col("_tenant"), p), F.lit(""))
+        of_tenant = lambda p: F.coalesce(of("_tenant")(p), F.lit(""))
         index, sourcetype, host = of_tenant("directory"), of_tenant("streamname"), F.col("_host")
     else:
         index, sourcetype, host = F.lower("_of.index"), F.lower("_of.sourcetype"), F.lower("_of.host")
     return out.select(
-        *keep, _time_of(F.col("_text")).alias("_time"), "_raw", index.alias("index"), sourcetype.alias("sourcetype"), host.alias("host"), _source(F.col("_source"), F.col("_relay"), tail).alias("source"),
-        F.col("_of.partition").cast("string").alias("partition"), F.col("_of.offset").cast("long").alias("offset"), F.coalesce(param(F.col("_origin"), "hostname"), F.lit("")).alias("origin"),
+        *keep, _time_of(F.col("_text")).alias("_time"), "_raw", index.alias("index"), sourcetype.alias("sourcetype"), host.alias("host"), _source(of("_source"), of("_relay"), tail).alias("source"),
+        F.col("_of.partition").cast("string").alias("partition"), F.col("_of.offset").cast("long").alias("offset"), F.coalesce(of("_origin")("hostname"), F.lit("")).alias("origin"),
     )

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltstone.functions.paths import object_path
 from siltstone.operators.catalog import Catalog
+from siltstone.sources.shared import shared_folder
 
 COLUMNS = ("_time", "_raw", "index", "sourcetype", "host", "source", "partition", "offset", "origin")
 
@@ -34,9 +37,22 @@ def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("logdate", F.to_date(F.timestamp_seconds("logtime")))
 
 
+_saved: dict[tuple[str, str], str] = {}
+
+
+def saved_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``objects``, written out once a session: a catalog is a table, not something to be derived from events for each of its relations."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _saved:
+        path = f"{shared_folder(spark)}/objects-{uuid.uuid4().hex}"
+        objects(spark, sf_dir).write.parquet(path)
+        _saved[key] = path
+    return spark.read.parquet(_saved[key])
+
+
 def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     """The catalog's relations, with ids that both Spark and SQL can derive from names and hours."""
-    o = objects(spark, sf_dir)
+    o = saved_objects(spark, sf_dir)
     names = o.select("index", "sourcetype", "host").distinct()
     number = F.regexp_extract("host", "([0-9]+)$", 1).cast("long")
     group = F.ascii(F.substring("index", 1, 1)).cast("long") * 1000 + F.length("index")

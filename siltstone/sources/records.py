@@ -43,7 +43,7 @@ class Decoded:
         if name not in self._elements:
             found = pc.extract_regex(self.sd, rf'\[{re.escape(name)}(?P<p>(?: [^ =\]"]+={_QUOTED})*)\]')
             self._elements[name] = pc.struct_field(found, "p")
-        raw = pc.struct_field(pc.extract_regex(self._elements[name], rf' {re.escape(key)}="(?P<v>(?:[^"\\]|\\(?s:.))*)"'), "v")
+        raw = pc.struct_field(pc.extract_regex(self._elements[name], rf'^(?: [^ =\]"]+={_QUOTED})*? {re.escape(key)}="(?P<v>(?:[^"\\]|\\(?s:.))*)"'), "v")
         return pc.replace_substring_regex(raw, r'\\(["\\\]])', r"\1")
 
     def source(self, tail_rule: bool = False) -> pa.Array:

@@ -66,6 +66,23 @@ def test_records_agree_in_columns_and_python(spark):
     assert tuple(whole[2])[:5] == ("", "i", "s", "h", "::") and whole[1].us is None and whole[1]._raw == ""
 
 
+ODD = [
+    '[a x="1"][origin@32473 hostname="h"]', '[origin@32473 x="b hostname=" hostname="h"]', '[a x="][origin@32473 hostname=" y="z"][origin@32473 hostname="h"]', '[origin@32473 y="]" hostname="h"]', '[origin@32473]', '-',
+    r'[origin@32473 y="\"]" hostname="h\\"]', '[origin@324731 hostname="x"]', '[origin@32473 hostname=""]', '[a hostname="x"][b]', '[origin@32473 x=" hostname=" y="q"]', '[x y="[origin@32473 hostname="][origin@32473 hostname="h"]',
+]
+
+
+def test_odd_structured_data_is_read_alike(spark):
+    lines = [f"<14>1 2020-01-01T00:00:00Z h a - - {sd} {m}" for sd in ODD for m in ('m', 'x] "y" [z')]
+    df = spark.createDataFrame([(k, x) for k, x in enumerate(lines)], "k long, v string")
+    none = F.lit("")
+    got = {r.k: (r.origin, r._raw) for r in syslog.decoded(df, F.col("v"), none, none, none, none, F.col("k"), keep=("k",)).collect()}
+    d = records.Decoded(pa.array(lines))
+    assert got == {k: (o, m or "") for k, (o, m) in enumerate(zip(d.origin().to_pylist(), d.message.to_pylist(), strict=True))}
+    assert [got[2 * k][0] for k in range(len(ODD))] == ["h", "h", "h", "h", "", "", "h\\", "", "", "", "", "h"]
+    assert {r[0] for r in df.select(syslog.is_record(F.col("v"))).collect()} == {True}
+
+
 def test_tail_rule_of_source(spark):
     sd = F.lit('[event_node_source@32473 hostname="h" source_module="m"][event_node_relay@32473 source="r"]')
     assert one(spark, syslog.source(sd)) == "m:h:r"
