@@ -191,17 +191,17 @@ def map_(spark, d):
 
 @register("s_tumbling", "SELECT CAST(floor(epoch(time_bucket(INTERVAL 1 DAY, ts))) AS BIGINT) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def tumbling(spark, d):
-    return windows.run(spark, windows.tumbling(windows.events(spark, d), "1 day"), shared_folder(spark))
+    return windows.run(spark, windows.tumbling(windows.events(spark, d), "1 day"), shared_folder(spark), "update", ("start", "event_type"))
 
 
 @register("s_sliding", "WITH s AS (SELECT event_type, unnest([epoch(time_bucket(INTERVAL 12 HOUR, ts)), epoch(time_bucket(INTERVAL 12 HOUR, ts)) - 43200]) AS a FROM events) SELECT CAST(floor(a) AS BIGINT) AS start, event_type, count(*) AS n FROM s GROUP BY 1, 2")
 def sliding(spark, d):
-    return windows.run(spark, windows.sliding(windows.events(spark, d), "1 day", "12 hours"), shared_folder(spark))
+    return windows.run(spark, windows.sliding(windows.events(spark, d), "1 day", "12 hours"), shared_folder(spark), "update", ("start", "event_type"))
 
 
 @register("s_session", "WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)), n AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT user_id, CAST(floor(epoch(min(ts))) AS BIGINT) AS start, count(*) AS n FROM n GROUP BY user_id, k")
 def session(spark, d):
-    return windows.run(spark, windows.sessions(windows.events(spark, d), "6 hours"), shared_folder(spark))
+    return windows.run(spark, windows.sessions(windows.events(spark, d), "6 hours"), shared_folder(spark), "complete")
 
 
 @register("s_dedup", "SELECT DISTINCT user_id, event_type FROM events")

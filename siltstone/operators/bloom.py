@@ -40,12 +40,13 @@ def tokens_of(text: Column, pattern: Column) -> Column:
 
 
 def build(texts: DataFrame, types: DataFrame) -> DataFrame:
-    """Filters of texts (partition_id, text): distinct bits are combined before the shuffle, and a filter's own size bounds it."""
+    """Filters of texts (partition_id, text): an object's distinct tokens are taken before their bits, and both are combined where they lie before a shuffle."""
     kinds = with_shape(types).select("id", "bits", "hashes", "pattern").collect()  # a handful, of which each text gets all
     shapes = F.array(*[F.struct(F.lit(k.id).alias("id"), F.lit(k.bits).alias("bits"), F.lit(k.hashes).alias("hashes"), F.lit(k.pattern).cast("string").alias("pattern")) for k in kinds])
     each = texts.select("partition_id", "text", F.explode(shapes).alias("t"))
-    each = each.select("partition_id", F.col("t.id").alias("filter_type_id"), "t.bits", "t.hashes", F.explode(F.array_distinct(tokens_of(F.col("text"), F.col("t.pattern")))).alias("token"))
-    bit = each.select("partition_id", "filter_type_id", F.explode(positions(F.col("token"), F.col("bits"), F.col("hashes"))).alias("bit"))
+    each = each.select("partition_id", F.col("t.id").alias("filter_type_id"), "t.bits", "t.hashes", F.explode(F.array_distinct(F.transform(tokens_of(F.col("text"), F.col("t.pattern")), lambda x: F.lower(x)))).alias("token"))
+    token = each.distinct()
+    bit = token.select("partition_id", "filter_type_id", F.explode(positions(F.col("token"), F.col("bits"), F.col("hashes"))).alias("bit"))
     return bit.groupBy("partition_id", "filter_type_id").agg(F.sort_array(F.collect_set("bit")).alias("bits"))
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, fields
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions import paths
@@ -89,3 +90,22 @@ def next_hour(found: DataFrame, after: int, before: int | None = None) -> DataFr
     out = found.where(F.col("logtime") > after)
     out = out if before is None else out.where(F.col("logtime") < before)
     return out.groupBy("logtime").agg(F.sum("file_size").alias("size")).orderBy("logtime").limit(1)
+
+
+def load(spark: SparkSession, root: str, names: Mapping[str, str] | None = None) -> Catalog:
+    """A catalog from tables below a folder, by the names of its relations or others that ``names`` maps them to (also in other folders)."""
+    named = names or {}
+    return Catalog(**{f.name: spark.read.parquet(f"{root}/{named.get(f.name, f.name)}.parquet") for f in fields(Catalog)})
+
+
+def materialise(found: DataFrame, path: str) -> DataFrame:
+    """Enriched objects written out by day, for planners that ask for one range of hours after the other; a day's files alone are read for it."""
+    found.repartition("logdate").write.mode("overwrite").partitionBy("logdate").parquet(path)
+    return found.sparkSession.read.parquet(path)
+
+
+def of_hours(slice_: DataFrame, after: int, last: int) -> DataFrame:
+    """The objects of the hours from ``after`` (exclusive) to ``last`` (inclusive) of a materialised slice, whose other days are pruned."""
+    day = lambda t: F.to_date(F.timestamp_seconds(F.lit(t)))
+    near = (F.col("logdate") >= F.date_sub(day(after), 1)) & (F.col("logdate") <= F.date_add(day(last), 1))
+    return hour_range(slice_.where(near), after, last)

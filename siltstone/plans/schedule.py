@@ -53,12 +53,12 @@ def first_batch(hours: DataFrame, b: Batching = Batching()) -> DataFrame:
     return before.where((F.col("seconds") <= b.quantum * b.partitions) & (F.col("count") <= b.most_objects)).drop("seconds", "count")
 
 
-def pack(units: Sequence[tuple[int, Unit]], queues: int) -> list[list[Unit]]:
-    """Units (bytes, unit) dealt to queues, the largest first and each to the least loaded; empty queues are left out."""
+def pack(units: Sequence[tuple[int, Unit]], queues: int, keep_empty: bool = False) -> list[list[Unit]]:
+    """Units (bytes, unit) dealt to queues, the largest first and each to the least loaded; empty queues are left out, or kept on request."""
     heap = [(0, k) for k in range(max(1, queues))]
     out: list[list[Unit]] = [[] for _ in heap]
     for size, unit in sorted(units, key=lambda u: -u[0]):
         load, k = heapq.heappop(heap)
         out[k].append(unit)
         heapq.heappush(heap, (load + max(0, size), k))
-    return [q for q in out if q]
+    return [q for q in out if q or keep_empty]

@@ -16,6 +16,7 @@ from siltstone.plans.conditions import DAY, NAMES, earliest_epoch, on_objects, o
 from siltstone.plans.options import Batching
 from siltstone.plans.query import Node, parse
 from siltstone.sources import adapter
+from siltstone.sources.shared import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -239,20 +240,34 @@ def epoch_and_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapter.tagged(spark, sf_dir).where(F.col("epoch") >= T2).select("event_id")
 
 
-@register("q_lpt_packing", f"WITH {OBJECTS}, d AS (SELECT * FROM o WHERE logdate = DATE '2024-01-05') SELECT CAST(sum(file_size) AS BIGINT) AS bytes, count(*) AS units, true AS balanced FROM d")
+_LPT = f"""WITH RECURSIVE {OBJECTS},
+u AS (SELECT logdate, file_size AS s, row_number() OVER (PARTITION BY logdate ORDER BY file_size DESC, path) AS k FROM o),
+q AS (SELECT DISTINCT logdate, CAST(0 AS BIGINT) AS k, CAST(0 AS BIGINT) AS a, CAST(0 AS BIGINT) AS b, CAST(0 AS BIGINT) AS c, CAST(0 AS BIGINT) AS d FROM u
+UNION ALL SELECT logdate, k, a + CASE m WHEN 0 THEN s ELSE 0 END, b + CASE m WHEN 1 THEN s ELSE 0 END, c + CASE m WHEN 2 THEN s ELSE 0 END, d + CASE m WHEN 3 THEN s ELSE 0 END
+  FROM (SELECT q.logdate, u.k, u.s, a, b, c, d, CASE least(a, b, c, d) WHEN a THEN 0 WHEN b THEN 1 WHEN c THEN 2 ELSE 3 END AS m FROM q JOIN u ON u.logdate = q.logdate AND u.k = q.k + 1)),
+z AS (SELECT logdate, max(k) AS k FROM q GROUP BY logdate), e4 AS (SELECT q.* FROM q JOIN z ON q.logdate = z.logdate AND q.k = z.k)
+SELECT logdate, CAST(0 AS BIGINT) AS queue, a AS load FROM e4 UNION ALL SELECT logdate, 1, b FROM e4 UNION ALL SELECT logdate, 2, c FROM e4 UNION ALL SELECT logdate, 3, d FROM e4"""
+
+
+@register("q_lpt_packing", _LPT)
 def lpt_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One day's objects (catalog metadata, which the driver plans with) dealt to eight queues; no queue is above the least by more than the largest unit."""
-    day = adapter.objects(spark, sf_dir).where(F.col("logdate") == F.lit("2024-01-05").cast("date")).select("path", "file_size").collect()
-    queues = schedule.pack([(r.file_size, (r.path, r.file_size)) for r in day], 8)
-    loads = [sum(size for _, size in q) for q in queues]
-    balanced = max(loads, default=0) - min(loads, default=0) <= max((r.file_size for r in day), default=0)
-    return spark.createDataFrame([(sum(loads) if day else None, sum(map(len, queues)), balanced)], "bytes bigint, units bigint, balanced boolean")
+    """The load of each of four queues after the objects of a day were dealt, the largest first and each to the least loaded one."""
+
+    def loads(day):
+        import pandas as pd
+
+        units = [(int(s), int(s)) for s in day.sort_values(["file_size", "path"], ascending=[False, True])["file_size"]]
+        held = [sum(q) for q in schedule.pack(units, 4, keep_empty=True)]
+        return pd.DataFrame({"logdate": day["logdate"].iloc[0], "queue": range(4), "load": held})
+
+    found = adapter.saved_objects(spark, sf_dir).select("logdate", "path", "file_size")
+    return found.groupBy("logdate").applyInPandas(loads, "logdate date, queue bigint, load bigint")  # a day of the catalog, as a planner holds it
 
 
 @register("q_lpt_packing_days", f"WITH {OBJECTS} SELECT logdate, CAST(sum(file_size) AS BIGINT) AS bytes, count(*) AS units, true AS balanced FROM o GROUP BY logdate")
 def lpt_packing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The objects of every day of the catalog dealt to eight queues, a row a day; the driver holds one partition's days at once."""
-    found = adapter.objects(spark, sf_dir).select("logdate", "path", "file_size").orderBy("logdate").toLocalIterator()
+    found = adapter.saved_objects(spark, sf_dir).select("logdate", "path", "file_size").orderBy("logdate").toLocalIterator()
     out = []
     for logdate, day in groupby(found, key=lambda r: r.logdate):
         units = [(r.file_size, (r.path, r.file_size)) for r in day]
@@ -270,7 +285,7 @@ _SD = """CASE event_id % 3 WHEN 0 THEN '[event_node_source@32473 hostname="src-'
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = adapter.tagged(spark, sf_dir)
+    t = spread(adapter.tagged(spark, sf_dir))
     k, host = F.col("event_id") % 3, F.col("host")
     own = F.concat(F.lit('[event_node_source@32473 hostname="src-'), host, F.lit('" source="10.0.0.1" source_module="imudp"][origin@32473 hostname="o-'), F.col("user_id").cast("string"), F.lit('"]'))
     relay = F.lit('[event_node_relay@32473 hostname="relay" source="r" source_module="imrelp"][origin@32473 hostname="a\\"b"]')
@@ -335,12 +350,12 @@ _TYPES = ((1, 20000, 0.01, "[A-Za-z]{6,}"), (2, 2000, 0.01, "[0-9]+"), (3, 5000,
 
 
 def _bloom(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select((F.col("doc_id") % 50).alias("partition_id"), "text")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet")).select((F.col("doc_id") % 50).alias("partition_id"), "text")
     types = spark.createDataFrame(_TYPES, "id long, expectedElements long, targetFpp double, pattern string")
     return docs, types, bloom.build(docs, types)
 
 
-@register("q_bloom_no_false_negative", "SELECT 0::BIGINT AS missed, 50::BIGINT AS objects FROM (SELECT 1)")
+@register("q_bloom_no_false_negative", "SELECT 0::BIGINT AS missed, count(DISTINCT doc_id % 50) AS objects FROM documents")
 def bloom_no_miss(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, types, filters = _bloom(spark, sf_dir)
     objects = docs.select(F.col("partition_id").alias("id")).distinct()
@@ -351,14 +366,15 @@ def bloom_no_miss(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.agg(F.count(F.when(F.col("true") & F.col("kept").isNull(), 1)).alias("missed"), F.count("*").alias("objects"))
 
 
-@register("q_bloom_hits")
+@register("q_bloom_hits", f"SELECT doc_id % 50 AS partition_id, bool_or(regexp_matches(text, '(?i)(^|[^a-z]){_TERM}([^a-z]|$)')) AS hit FROM documents GROUP BY 1")
 def bloom_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which objects a rare term leaves; false positives depend on the hash."""
-    docs, types, filters = _bloom(spark, sf_dir)
-    return bloom.may_hold(filters, types, _TERM)
+    """Which objects a term leaves, by filters so sparse that none of 50 objects is left wrongly."""
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet")).select((F.col("doc_id") % 50).alias("partition_id"), "text")
+    types = spark.createDataFrame([(1, 20000, 1e-9, _TYPES[0][3])], "id long, expectedElements long, targetFpp double, pattern string")
+    return bloom.may_hold(bloom.build(docs, types), types, _TERM)
 
 
-@register("q_bloom_relevant_types", "SELECT * FROM (VALUES (1::BIGINT)) AS v(filter_type_id)")
+@register("q_bloom_relevant_types", "SELECT CAST(id AS BIGINT) AS filter_type_id FROM (VALUES " + ", ".join(f"({k}, '{p}')" for k, _, _, p in _TYPES) + f") AS v(id, p) WHERE regexp_matches('{_TERM}', p)")
 def bloom_relevant(spark: SparkSession, sf_dir: str) -> DataFrame:
     types = spark.createDataFrame(_TYPES, "id long, expectedElements long, targetFpp double, pattern string")
     return bloom.relevant_types(types, _TERM).select("filter_type_id")

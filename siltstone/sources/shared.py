@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 KEY = "spark.checkpoint.dir"
 _own: dict[str, str] = {}
@@ -21,3 +21,9 @@ def shared_folder(spark: SparkSession) -> str:
     if app not in _own:
         _own[app] = "file://" + tempfile.mkdtemp(prefix="shared-")
     return _own[app]
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a table that has fewer partitions than there are cores, dealt to all of them, for work that costs far more than the exchange; any other table as it lies."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df._jdf.rdd().getNumPartitions() >= cores else df.repartition(cores)

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: How late an event may come.
 LATE = "40 days"
@@ -34,15 +35,24 @@ def sessions(stream: DataFrame, gap: str) -> DataFrame:
     return stream.groupBy("user_id", F.session_window("time", gap).alias("w")).agg(F.count("*").alias("n")).select("user_id", _start("w"), "n")
 
 
-def run(spark: SparkSession, stream: DataFrame, folder: str) -> DataFrame:
-    """The final table of a stream, once all that is there now has been read. State and progress lie in a shared folder."""
+def run(spark: SparkSession, stream: DataFrame, folder: str, mode: str = "append", keys: tuple[str, ...] = ()) -> DataFrame:
+    """The final table of a stream, once all that is there now has been read. State and progress lie in a shared folder.
+
+    ``append``: rows go out once and for all, those of a window when the watermark has passed it. ``update``: a window goes out whenever it
+    has changed, its state is dropped behind the watermark, and the last row of each of ``keys`` counts. ``complete``: all rows go out
+    each time, and no state is ever dropped; only session windows need it, for which Spark has no updates.
+    """
     name = f"stream_{uuid.uuid4().hex}"
     table = f"{folder}/{name}/rows"
-    out = stream.writeStream.trigger(availableNow=True).option("checkpointLocation", f"{folder}/{name}/state")
-    if "Aggregate" in stream._jdf.queryExecution().analyzed().toString():
-        query = out.outputMode("complete").foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(table)).start()
-    else:
-        query = out.outputMode("append").format("parquet").option("path", table).start()
-    query.awaitTermination()
-    return spark.read.parquet(table)
-
+    out = stream.writeStream.trigger(availableNow=True).option("checkpointLocation", f"{folder}/{name}/state").outputMode(mode)
+    if mode == "append":
+        out.format("parquet").option("path", table).start().awaitTermination()
+        return spark.read.schema(stream.schema).parquet(table)
+    schema = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
+    write = lambda batch, k: batch.withColumn("batch", F.lit(k).cast("long")).write.mode("overwrite").parquet(f"{table}/{k}" if mode == "update" else table)
+    out.foreachBatch(write).start().awaitTermination()
+    rows = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(table)
+    if mode == "update":
+        rest = [c for c in stream.columns if c not in keys]
+        rows = rows.groupBy(*keys).agg(F.max(F.struct("batch", *rest)).alias("last")).select(*keys, *[F.col(f"last.{c}").alias(c) for c in rest])
+    return rows.select(*stream.columns)

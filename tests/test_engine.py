@@ -1,6 +1,7 @@
 import gzip
 import json
 import sys
+import time
 from datetime import UTC, datetime
 
 import pyarrow as pa
@@ -9,12 +10,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltstone.functions import paths, search_tokens, syslog
-from siltstone.operators import bloom, metrics
+from siltstone.operators import bloom, catalog, metrics
 from siltstone.plans import options, schedule
 from siltstone.plans.options import Batching
 from siltstone.plans.query import parse
 from siltstone.sources import archive, catalogs, datasource, offsets, records, tail
 from siltstone.sources.datasource import LogSource
+from siltstone.streaming import windows
 
 T0 = 1_552_600_800
 
@@ -333,3 +335,37 @@ def test_archive_batch_pipeline(spark, store):
     first = archive.read_lines(spark, f"{store}/objects", first_only=True).withColumn("key", F.substring_index("object", "/objects/", -1))
     moved = archive.migration(first, objects.withColumn("path", F.col("path")))
     assert moved.count() == 26 and moved.where("_raw like '%\"format\":\"rfc5424\"%'").count() == 26
+
+
+def test_late_events_and_dropped_state(spark, tmp_path):
+    """Three batches of files: what lies behind the watermark of the first is left out of the third, and its state is gone."""
+    day = lambda k: datetime(2024, 1, 1 + k, 12, tzinfo=UTC)
+    schema = "event_type string, time timestamp"
+    batches = [[("a", day(0)), ("a", day(0)), ("a", day(9))], [("a", day(9))], [("a", day(1)), ("a", day(9)), ("b", day(12))]]
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        time.sleep(1.1 * (k < 2))  # files are read by age
+    for mode, keys in (("append", ()), ("update", ("start", "event_type"))):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in").withWatermark("time", "2 days")
+        got = windows.run(spark, windows.tumbling(stream, "1 day"), f"file://{tmp_path}/{mode}", mode, keys)
+        n = {(datetime.fromtimestamp(r.start, UTC).day, r.event_type): r.n for r in got.collect()}
+        if mode == "append":
+            assert n == {(1, "a"): 2, (10, "a"): 3}
+        else:
+            assert n == {(1, "a"): 2, (10, "a"): 3, (13, "b"): 1}
+
+
+def test_catalog_slice_by_day(spark, tmp_path):
+    rows = [(k, k * 43200) for k in range(8)]
+    found = spark.createDataFrame(rows, "id long, logtime long").withColumn("logdate", F.to_date(F.timestamp_seconds("logtime")))
+    kept = catalog.materialise(found, f"{tmp_path}/slice")
+    for after, last in ((0, 86400), (-1, 0), (100000, 200000), (43200, 10**9)):
+        near = catalog.of_hours(kept, after, last)
+        assert sorted(r.id for r in near.collect()) == [k for k, t in rows if after < t <= last]
+    assert "PartitionFilters: [isnotnull(logdate" in catalog.of_hours(kept, 0, 86400)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_catalog_under_other_names(spark, tmp_path):
+    for f in ("groups", "stream", "stream_host", "logfile", "host", "bucket", "logtag", "corrupted"):
+        spark.range(1).write.parquet(f"{tmp_path}/{f}.parquet")
+    assert catalog.load(spark, str(tmp_path), {"log_group": "groups"}).log_group.count() == 1
