@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 import atexit
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.sources.shared import shared_folder, spread
+
 #: Estimates from here on say that Spark doesn't know a size.
 UNKNOWN_BYTES = 1 << 50
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def lower_ascii(c: Column) -> Column:
@@ -41,18 +42,6 @@ def free_name(df: DataFrame, wish: str) -> str:
     return wish
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or (unset, as in tests) our own."""
-    key = "spark.checkpoint.dir"
-    folder = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError(f"{key} must name a folder that all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="scratch-")
-        spark.conf.set(key, folder)
-    return folder
-
-
 class Scratch:
     """Tables written to the shared folder: they cut lineage and outlive lost executors.
 
