@@ -465,6 +465,23 @@ def test_repeated_rows_in_the_pipeline(spark):
     assert corpus_pipeline.near_duplicates(spark, df.where("doc_id = 2"), DATA).count() == 1
 
 
+def test_stages_take_odd_tables(spark):
+    import corpus_pipeline
+
+    say = lambda k, n=60: " ".join(f"w{k}x{(j * j + k) % 97}" for j in range(n))
+    rows = [(None, None, None, None, None), (1, "", "en", "s", 0), (2, None, "en", "s", None), (3, say(3), "en", None, 1), (3, say(3), "en", "t", 2), (4, say(4), None, "s", 3), (None, say(5), "en", "s", 4), (6, say(6, 5000), "en", "s", 5), (7, say(6, 5000) + " end", "en", "s", 6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    odd = df.select("*", *[F.lit(k).alias(c) for k, c in enumerate(("again", "rest", "kept", "id", "ranges", "component_id", "item_id", "f", "c0"))])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, odd, DATA)
+        assert out.columns == odd.columns, name
+        ids = sorted(r.doc_id or 0 for r in out.collect())
+        want = {"quality rules": [0, 3, 3, 4], "n-gram Jaccard join": [0, 0, 1, 2, 3, 4, 6]}.get(name, [0, 0, 1, 2, 3, 3, 4, 6, 7])
+        assert ids == want or name == "quality rules" and set(ids) <= {0, 3, 4, 6, 7}, name
+        assert stage(spark, odd.limit(0), DATA).count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, odd, DATA).count() == len(rows)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
