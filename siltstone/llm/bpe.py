@@ -24,7 +24,7 @@ from siltstone.llm.wordhash import give_back, slices
 #: How the byte-level scheme cuts text into words (fixed value of the public tokenizer).
 WORD = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Trie nodes, bytes of distinct words, and neighbours that a Python worker keeps; beyond them it starts anew, within a slice too.
-MAX_NODES, MAX_BYTES, MAX_PAIRS = 300_000, 8 << 20, 500_000
+MAX_NODES, MAX_BYTES, MAX_PAIRS = 400_000, 32 << 20, 500_000
 #: Words of more bytes share too little to be put into the trie.
 LONG_WORD = 1024
 
@@ -63,7 +63,8 @@ class Vocabulary:
             self.matches.add_word(b.decode("latin-1"), (len(b), i))
         self.matches.make_automaton()
         self._edges: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        self._fits: dict[int, bool] = {}
+        #: What ``fits`` has said.
+        self.known: dict[int, bool] = {}
 
     def edge(self, token: int, side: int) -> list[tuple[int, int]]:
         """The tokens at one end (side 1: left, 2: right) that ``token`` grew from, each with the merge that used it up."""
@@ -78,24 +79,22 @@ class Vocabulary:
             self._edges[token, side] = found
         return found
 
-    def fits(self, left: int, right: int) -> bool:
-        """Whether BPE leaves ``left`` and ``right`` apart, standing side by side.
+    def fits(self, key: int) -> bool:
+        """Whether BPE leaves two tokens (left and right, as one number) apart, standing side by side.
 
         It doesn't if some merge across the border comes while both of its sides exist: before the merge that uses up
         the one to the left, and not after the one that uses up the one to the right (of equal merges the left goes first).
         """
-        key = left << self.shift | right
-        said = self._fits.get(key)
-        if said is None:
-            said, order, none = True, self.order, len(self.order)
-            for a, a_used in self.edge(left, 2):
-                for b, b_used in self.edge(right, 1):
-                    k = order.get(a << self.shift | b, none)
-                    if k < a_used and k <= b_used and k < none:
-                        said = False
-            if len(self._fits) > MAX_PAIRS:
-                self._fits.clear()
-            self._fits[key] = said
+        left, right = key >> self.shift, key & ((1 << self.shift) - 1)
+        said, order, none = True, self.order, len(self.order)
+        for a, a_used in self.edge(left, 2):
+            for b, b_used in self.edge(right, 1):
+                k = order.get(a << self.shift | b, none)
+                if k < a_used and k <= b_used and k < none:
+                    said = False
+        if len(self.known) > MAX_PAIRS:
+            self.known.clear()
+        self.known[key] = said
         return said
 
 
@@ -110,56 +109,54 @@ class PrefixTrie:
         self.child: dict[int, int] = {}
         self.last: list[int] = [-1]
 
-    def _beyond(self, word: bytes, path: list[int], states: list[int]) -> Iterator[int]:
-        """The last token of each prefix of ``word`` longer than ``path``, whose places in ``states`` the caller adds to ``path`` as they come."""
-        fits, done = self.v.fits, len(path) - 1
-        for end, (length, t) in self.v.matches.iter(word.decode("latin-1"), max(0, done + 1 - self.v.longest)):
-            # of the tokens that end here, longest first, the one that fits; any shorter ones are skipped
-            if end >= done:
-                start = end + 1 - length
-                if start == 0 or (start < len(path) and fits(states[path[start]], t)):
-                    done = end + 1
-                    yield t
-
-    def _ids(self, path: list[int], states: list[int]) -> list[int]:
-        ids, end, names = [], len(path) - 1, self.v.bytes
-        while end:
-            t = states[path[end]]
-            ids.append(t)
-            end -= len(names[t])
-        ids.reverse()
-        return ids
-
     def encode_sorted(self, words: list[bytes]) -> Iterator[list[int]]:
         """The token ids of each word; words in order, so that each continues the path of the one before."""
+        v = self.v
+        fits, known, shift, names, longest, find = v.fits, v.known, v.shift, v.bytes, v.longest, v.matches.iter
         path, before = [0], b""
         for word in words:
-            if len(word) > LONG_WORD:
-                states, own = [-1], [0]
-                for t in self._beyond(word, own, states):
-                    own.append(len(states))
-                    states.append(t)
-                yield self._ids(own, states)
-                continue
+            n = len(word)
+            long = n > LONG_WORD
             if len(self.last) > MAX_NODES:
                 self.clear()
                 path, before = [0], b""
-            child, last = self.child, self.last
-            n = len(word)
-            k, top = 0, min(n, len(before))
+            child, last = ({}, [-1]) if long else (self.child, self.last)
+            own = [0] if long else path
+            k, top = 0, 0 if long else min(n, len(before))
             while k < top and word[k] == before[k]:
                 k += 1
-            del path[k + 1 :]
-            while k < n and (below := child.get(path[k] << 8 | word[k])) is not None:
-                path.append(below)
+            del own[k + 1 :]
+            while k < n and (below := child.get(own[k] << 8 | word[k])) is not None:
+                own.append(below)
                 k += 1
             if k < n:
-                for t in self._beyond(word, path, last):
-                    child[path[-1] << 8 | word[len(path) - 1]] = len(last)
-                    path.append(len(last))
+                base = max(0, k + 1 - longest)
+                done = k - base  # what is known already, from the first byte that can matter
+                for end, (length, t) in find(word[base:].decode("latin-1")):
+                    # of the tokens that end here, longest first, the one that fits; any shorter ones are skipped
+                    if end < done:
+                        continue
+                    start = base + end + 1 - length
+                    if start:
+                        key = last[own[start]] << shift | t
+                        said = known.get(key)
+                        if not (fits(key) if said is None else said):
+                            continue
+                    done = end + 1
+                    below = len(last)
+                    if not long:
+                        child[own[-1] << 8 | word[base + end]] = below
+                    own.append(below)
                     last.append(t)
-            before = word
-            yield self._ids(path, last)
+            if not long:
+                before = word
+            ids, end = [], n
+            while end:
+                t = last[own[end]]
+                ids.append(t)
+                end -= len(names[t])
+            ids.reverse()
+            yield ids
 
 
 class Encoder:
@@ -171,15 +168,10 @@ class Encoder:
         self.find = regex.compile(WORD, regex.V0).findall
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.v.special, key=len, reverse=True))) + ")").split if self.v.special else None
         self.digits = [str(i) for i in range(max(self.v.bytes) + 1)]
-        self.count: dict[str, int] = {}
+        #: Words with their ids as text, and those whose ids decode to anything but the word.
         self.ids: dict[str, str] = {}
-        self.decoded: dict[str, bytes] = {}
-        self.bytes = 0
-        self._specials()
-
-    def _specials(self) -> None:
-        for s, i in self.v.special.items():
-            self.count[s], self.ids[s], self.decoded[s] = 1, str(i), self.v.bytes[i]
+        self.odd: dict[str, bytes] = {}
+        self.clear()
 
     def words(self, text: str) -> list[str]:
         if self.split is None or not any(s in text for s in self.v.special):
@@ -190,26 +182,33 @@ class Encoder:
         """Forget all words."""
         self.trie.clear()
         self.bytes = 0
-        for known in (self.count, self.ids, self.decoded):
-            known.clear()
-        self._specials()
+        self.ids.clear()
+        self.odd.clear()
+        self.ids |= {s: str(i) for s, i in self.v.special.items()}
 
     def learn(self, texts: list[list[str]]) -> None:
-        """Encode the words of a batch that aren't known yet."""
+        """Encode the words of a batch that aren't known yet, and decode each again."""
         if self.bytes > MAX_BYTES:
             self.clear()
         new: set[str] = set()
         for words in texts:
             new.update(words)
-        new.difference_update(self.count)
-        pairs = sorted((w.encode(), w) for w in new)
+        new.difference_update(self.ids)
+        ordered = sorted(new)  # code points are in the order of their bytes
+        raw = [w.encode() for w in ordered]
         names, digits = self.v.bytes.__getitem__, self.digits.__getitem__
-        for (b, w), ids in zip(pairs, self.trie.encode_sorted([b for b, _ in pairs]), strict=True):
-            self.count[w] = len(ids)
+        for w, b, ids in zip(ordered, raw, self.trie.encode_sorted(raw), strict=True):
             self.ids[w] = ",".join(map(digits, ids))
-            self.decoded[w] = b"".join(map(names, ids))
+            if b"".join(map(names, ids)) != b:
+                self.odd[w] = b"".join(map(names, ids))
             self.bytes += len(b) + 64
 
+    def decoded(self, text: str, words: list[str]) -> bytes:
+        """What the ids of a text's words decode to, which is the text itself where each word came back as it was."""
+        if not self.odd:
+            return text.encode()
+        return _valid(b"".join([self.odd[w] if w in self.odd else w.encode() for w in words]))
+
 
 _encoders: dict[str, Encoder] = {}
 
@@ -227,18 +226,19 @@ def _encode_batches(batches: Iterator[pa.RecordBatch], vocabulary, text_column:
     e = encoder(vocabulary.value)
     for batch in batches:
         for part in slices(batch, text_column):
-            split = [e.words(t or "") for t in part.column(text_column).to_pylist()]
+            texts = [t or "" for t in part.column(text_column).to_pylist()]
+            split = [e.words(t) for t in texts]
             e.learn(split)
-            count, ids, decoded = e.count.__getitem__, e.ids.__getitem__, e.decoded.__getitem__
+            ids = e.ids.__getitem__
             columns = {c: part.column(c) for c in keep}
             joined = [",".join(map(ids, w)) for w in split]
-            columns["n_tokens"] = pa.array([sum(map(count, w)) for w in split], pa.int64())
+            columns["n_tokens"] = pa.array([j.count(",") + 1 if j else 0 for j in joined], pa.int64())
             if with_ids:
                 columns["ids"] = pa.array([list(map(int, j.split(","))) if j else [] for j in joined], pa.list_(pa.int32()))
             columns["ids_sha256"] = pa.array([hashlib.sha256(j.encode()).hexdigest() for j in joined], pa.string())
-            columns["decoded_sha256"] = pa.array([hashlib.sha256(_valid(b"".join(map(decoded, w)))).hexdigest() for w in split], pa.string())
+            columns["decoded_sha256"] = pa.array([hashlib.sha256(e.decoded(t, w)).hexdigest() for t, w in zip(texts, split, strict=True)], pa.string())
             yield pa.RecordBatch.from_pydict(columns)
-            del split, joined, columns
+            del texts, split, joined, columns
     e.clear()  # the worker stays, and what it holds counts against the next stage
     give_back()
 
