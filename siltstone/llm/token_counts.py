@@ -22,6 +22,8 @@ SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Distinct words that a Python worker keeps between batches; beyond them it starts anew.
 MAX_WORDS = 400_000
+#: Longer words hardly occur again.
+LONG_WORD = 64
 
 
 def zipf_vocabulary(path: str | None = None) -> list[tuple[str, float]]:
@@ -53,26 +55,34 @@ class Counter:
         self.automaton.make_automaton()
         self.unknown = min((s for _, s in vocabulary), default=0.0) - UNKNOWN_PENALTY
         self.single = {p for p, _ in vocabulary if len(p) == 1}
+        self.longest = max((len(p) for p, _ in vocabulary), default=1)
         self.known: dict[str, int] = {}
 
     def count(self, word: str) -> int:
-        n = len(word)
-        ends: list[list[tuple[int, float]]] = [[] for _ in range(n)]
-        for end, match in self.automaton.iter(word):
-            ends[end].append(match)
-        score, count = [0.0] * (n + 1), [0] * (n + 1)
-        for end in range(1, n + 1):
-            best = None
-            for length, value in sorted(ends[end - 1], reverse=True):  # longest first: ascending starts
-                total = value + score[end - length]
+        """Pieces of the best path. Only as many scores are held as the longest piece has characters, however long the word is."""
+        m = self.longest + 1
+        score, count, single = [0.0] * m, [0] * m, self.single
+        matches = self.automaton.iter(word)
+        ahead = next(matches, None)
+        for end, char in enumerate(word, 1):
+            best, found = None, []
+            while ahead is not None and ahead[0] < end:
+                found.append(ahead[1])
+                ahead = next(matches, None)
+            if len(found) > 1:
+                found.sort(reverse=True)  # longest first: ascending starts
+            for length, value in found:
+                at = (end - length) % m
+                total = value + score[at]
                 if best is None or total > best:
-                    best, pieces = total, count[end - length] + 1
-            if word[end - 1] not in self.single:
-                total = self.unknown + score[end - 1]
+                    best, pieces = total, count[at] + 1
+            if char not in single:
+                at = (end - 1) % m
+                total = self.unknown + score[at]
                 if best is None or total > best:
-                    best, pieces = total, count[end - 1] + len(word[end - 1].encode())
-            score[end], count[end] = best, pieces
-        return count[n]
+                    best, pieces = total, count[at] + len(char.encode("utf-8", "surrogatepass"))
+            score[end % m], count[end % m] = best, pieces
+        return count[len(word) % m]
 
     def text(self, text: str) -> int:
         """Spaces start words, the first word gets one if it lacks it, and words are counted apart."""
@@ -85,7 +95,9 @@ class Counter:
         for w in words:
             n = known.get(w)
             if n is None:
-                n = known[w] = self.count(SPACE + w)
+                n = self.count(SPACE + w)
+                if len(w) <= LONG_WORD:
+                    known[w] = n
             total += n
         if len(known) > MAX_WORDS:
             known.clear()
@@ -112,8 +124,8 @@ def _count(batches: Iterator[pa.RecordBatch], vocabulary, text_column: str, keep
 def token_counts(docs: DataFrame, vocabulary: list[tuple[str, float]] | None = None, text_column: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The number of unigram pieces of each whole text: the columns ``keep`` and n_tokens.
 
-    Nulls and empty texts have 0; repeated rows repeat; columns not in ``keep`` are left out, so names can't
-    clash; an empty table gives an empty result. One narrow pass; the broadcast vocabulary doesn't grow with the data.
+    Nulls and empty texts have 0; very long texts are taken whole; of paths with equal scores the one whose last piece begins first counts;
+    repeated rows repeat; columns not in ``keep`` are left out, so names can't clash; an empty table gives an empty result. One narrow pass; the broadcast vocabulary doesn't grow with the data.
     """
     shared = docs.sparkSession.sparkContext.broadcast(zipf_vocabulary() if vocabulary is None else vocabulary)
     kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
