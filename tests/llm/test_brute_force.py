@@ -35,6 +35,15 @@ def test_hashes_tell_apart_what_polynomials_do_not(spark):
     assert {r.doc_id: r.component_id for r in jaccard.jaccard_join(df.where("doc_id > 2")).collect()} == {3: 3, 4: 4, 5: 5}
 
 
+def test_empty_rows_of_an_id_link_nothing(spark, monkeypatch):
+    say = lambda k: " ".join(f"w{k}x{j}" for j in range(30))
+    common = " ".join(f"c{j}" for j in range(20))
+    rows = [(k, t) for k in (1, 2, 3) for t in ("", None, f"{common} {say(k)}")] + [(4, f"{common} {say(1)}"), (4, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in jaccard.jaccard_join(df).collect()} == {1: 1, 2: 2, 3: 3, 4: 1}
+    assert not list(jaccard.similar([np.zeros(0, np.uint64)] * 3))
+
+
 @pytest.mark.parametrize("lower", [False, True])
 def test_word_and_window_hashes(lower):
     r = random.Random(2)

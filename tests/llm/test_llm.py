@@ -108,17 +108,30 @@ def library():
 
 def test_bpe_matches_the_library(docs, clashing, library):
     for frame in (docs, clashing):
-        rows = bpe.bpe_encode(frame).collect()
+        rows, texts = bpe.bpe_encode(frame).collect(), texts_of(frame)
         assert len(rows) == frame.count()
         for r in rows:
             if r.doc_id is None:
                 continue
-            ids = library.encode(texts_of(frame)[r.doc_id] or "", add_special_tokens=False).ids if r.doc_id < 20 else None
-            if ids is not None:
-                assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False)))
+            ids = library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
+            assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False)))
     assert bpe.bpe_encode(docs.limit(0)).count() == 0
 
 
+def test_bpe_of_long_words_and_small_budgets(library, monkeypatch):
+    r = random.Random(8)
+    texts = ["".join(r.choice("abcdé漢字 ") for _ in range(k)) for k in (3000, 200, 5000)] + ["ab" * 4000, "".join(chr(r.randrange(0x4E00, 0x9FFF)) for _ in range(20_000))]
+    monkeypatch.setattr(bpe, "MAX_NODES", 50)
+    monkeypatch.setattr(bpe, "MAX_BYTES", 1000)
+    monkeypatch.setattr(bpe, "MAX_PAIRS", 100)
+    e = bpe.Encoder(bpe.tokenizer_text())
+    for t in texts * 2:
+        words = e.words(t)
+        e.learn([words])
+        assert [int(i) for w in words for i in e.ids[w].split(",")] == library.encode(t, add_special_tokens=False).ids
+        assert e.decoded(t, words).decode() == t and not e.odd and len(e.trie.last) < 2500
+
+
 def test_bpe_round_trip_and_special_tokens(spark, library):
     r = random.Random(3)
     pieces = ["the", "ing", "don't", "I'LL", " ", "\n", "  ", "<|endoftext|>", "123", "漢字", "🙂", "\u0300", "\x1c", "\u3000", "é", "aaaa", "--", "\u200b"]
@@ -286,7 +299,11 @@ def test_token_counts_match_the_library(docs, spark):
     r = random.Random(5)
     pieces = ["the", "ing", " ", "  ", "\n", "ção", "漢", "🙂", "\u2581", "abc", "qqqq", "1234", "'"]
     texts = ["".join(r.choice(pieces) if r.random() < 0.6 else chr(r.randrange(32, 0x3000)) for _ in range(r.randrange(25))) for _ in range(1500)]
-    frames = [spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), docs]
+    texts += ["".join(r.choice(["漢", "字", "x", "qu", "é"]) for _ in range(30_000)), "z" * 20_000]  # words without spaces
+    odd = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clash = odd.withColumn("n_tokens", F.lit(-1)).withColumn("key", F.lit("x"))
+    assert token_counts.token_counts(clash).columns == ["doc_id", "n_tokens"]
+    frames = [odd, clash.drop("n_tokens"), docs]
     for frame in frames:
         for row in token_counts.token_counts(frame).join(frame, "doc_id").collect():
             assert row.n_tokens == len(known.encode(row.text or "", add_special_tokens=False).ids)
