@@ -2,7 +2,7 @@
 
 Of each text that speaks of a licence its header (the first terms, over line breaks and comment marks), of a licence file the whole
 text, lines that speak, and windows of the text's terms around each word that does are compared to templates: notices and whole
-licence texts. Terms are weighted by how rare they are among all headers, files and lines of the corpus that speak, and the template
+licence texts. Terms are weighted by how rare they are among all files and lines of the corpus that speak, and the template
 of the highest cosine names the licence. Windows run on over line breaks, so that a notice is found inside a longer line as well
 as over several lines. A file without a licence of its own has that of the licence file in the nearest directory above it.
 """
@@ -39,7 +39,7 @@ TEMPLATES = (
     *((name, f"SPDX-License-Identifier: {name}") for name in ("Apache-2.0", "MIT", "BSD-3-Clause", "BSD-2-Clause", "MPL-2.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC0-1.0", "Unlicense")),
     *((name, f"SPDX-License-Identifier: {name}{end}") for name in ("GPL-3.0", "GPL-2.0", "LGPL-3.0", "AGPL-3.0") for end in ("", "-only", "-or-later")),
 )
-#: Whole texts, and long headers, of public licences (fixed values): headers and licence files are compared to these too.
+#: Whole texts, and long headers, of public licences (fixed values): headers, lines and licence files are compared to these too, windows to notices alone.
 FULL_TEXTS = (
     (
         "MIT",
@@ -99,8 +99,6 @@ FULL_TEXTS = (
 )
 #: Terms of a text that are its header: of a few sentences, and of a whole notice with its conditions.
 HEADERS = (80, 180)
-#: Templates of at most so many terms are windows too; the longer ones are met by headers and files alone.
-WINDOW_TERMS = 48
 #: What makes a line worth comparing.
 SPEAKS = r"(?i)licen[sc]e|copyright|permission is hereby|public domain|redistribution|free software|\bCC[ -]BY\b|\bCC0\b|SPDX"
 #: The same over line breaks and what a comment begins its lines with.
@@ -192,33 +190,38 @@ def own_licences(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     samples = F.array(*[F.struct(F.lit(k).alias("template"), F.lit(name).alias("licence"), F.lit(body).alias("line")) for k, (name, body) in enumerate([*templates, *full_texts])])
     samples = spark.range(1).select(F.explode(samples).alias("t")).select("t.template", "t.licence", terms(F.col("t.line")).alias("terms"), marked_terms(F.col("t.line")).alias("marked"))
     shapes = [(next((i for i, w in enumerate(r.marked) if MARK in w), None), len(r.marked)) for r in samples.collect()]
-    spans = sorted({(i, n - 1 - i) for i, n in shapes if i is not None and n <= WINDOW_TERMS} | {(n, n) for n in RADII})
-    short = [k for k, (_, n) in enumerate(shapes) if n <= WINDOW_TERMS]
+    short = range(len(templates))
+    spans = sorted({(i, n - 1 - i) for i, n in shapes[: len(templates)] if i is not None} | {(n, n) for n in RADII})
     speaking = docs.where(F.col(id_column).isNotNull() & text.rlike(SPEAKS_OVER_LINES))
     around = _contexts(text, max(b for b, _ in spans), max(a for _, a in spans))
     some = lambda c, when: F.when(when, F.array(c)).otherwise(F.array().cast("array<string>"))
     headers = F.transform(F.array(*map(F.lit, HEADERS)), lambda n: F.array_join(F.slice(terms(text), F.lit(1), n), " "))
     whole = F.lit(False) if is_file is None else F.coalesce(is_file, F.lit(False))
-    units = F.concat(F.filter(F.split(text, "\n"), lambda x: x.rlike(SPEAKS)), F.filter(headers, lambda h: h.rlike(SPEAKS)), some(F.array_join(terms(text), " "), whole))
-    said = scratch.save(speaking.select(F.col(id_column).alias("id"), F.array_distinct(units).alias("lines"), around.alias("contexts")))
-    # lines repeat a great deal: each different one is compared once
-    lines = said.select("id", F.explode("lines").alias("line")).distinct()
-    counted = scratch.save(lines.groupBy("line").agg(F.count("*").alias("n")).select("line", "n", terms(F.col("line")).alias("terms")))
+    units = F.array_distinct(F.concat(F.filter(F.split(text, "\n"), lambda x: x.rlike(SPEAKS)), some(F.array_join(terms(text), " "), whole)))
+    headers = F.array_except(F.filter(headers, lambda h: h.rlike(SPEAKS)), units)
+    said = scratch.save(speaking.select(F.col(id_column).alias("id"), units.alias("lines"), headers.alias("headers"), around.alias("contexts")))
+    # lines repeat a great deal: each different one is compared once, under a short name of its own
+    # headers say once more what lines say, and don't count for the rarity of terms
+    marked = F.concat(F.transform("lines", lambda x: F.struct(x.alias("line"), F.lit(1).alias("counts"))), F.transform("headers", lambda x: F.struct(x.alias("line"), F.lit(0).alias("counts"))))
+    lines = said.select("id", F.explode(marked).alias("u")).select("id", F.md5("u.line").alias("unit"), "u.line", "u.counts")
+    counted = scratch.save(lines.groupBy("unit").agg(F.sum("counts").alias("n"), F.min("line").alias("line")).select("unit", "n", terms(F.col("line")).alias("terms")))
     lines_in_all = counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
-    known = samples.select(F.explode("terms").alias("term")).distinct()
+    known = samples.where(F.col("template").isin(*short)).select(F.explode("terms").alias("term")).distinct()
+    prose = samples.select(F.explode("terms").alias("term")).distinct().join(F.broadcast(known), "term", "left_anti").select("term", F.lit(1.0).alias("idf"))
     df = counted.select("n", F.explode(F.array_distinct("terms")).alias("term")).join(F.broadcast(known), "term", "left_semi").groupBy("term").agg(F.sum("n").alias("df"))
     rarity = F.log((1.0 + lines_in_all) / (1.0 + F.coalesce("df", F.lit(0)))) + 1.0
-    idf = scratch.save(known.join(df, "term", "left").select("term", rarity.alias("idf")))  # as many rows as the templates have terms
+    # as many rows as the templates have terms; those that only whole texts have weigh as much as any other word
+    idf = scratch.save(known.join(df, "term", "left").select("term", rarity.alias("idf")).unionAll(prose))
     t, t_norm = _weights(samples, ["template"], idf)
     named = t.join(t_norm, "template").join(samples.select("template", "licence"), "template").select("term", "template", "licence", (F.col("w") / F.col("norm")).alias("tw"))
     named = scratch.save(named)
-    x, x_norm = _weights(counted, ["line"], idf)
-    dots = x.join(F.broadcast(named), "term").groupBy("line", "template", "licence").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
-    scored = dots.join(x_norm, "line").select("line", "licence", F.round(F.col("dot") / F.col("norm"), 6).alias("score")).where(F.col("score") >= min_cosine)
-    best = scored.groupBy("line").agg(F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("b"))
-    notices = named.where(F.col("template").isin(short)).collect()
+    x, x_norm = _weights(counted, ["unit"], idf)
+    dots = x.join(F.broadcast(named), "term").groupBy("unit", "template", "licence").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
+    scored = dots.join(x_norm, "unit").select("unit", "licence", F.round(F.col("dot") / F.col("norm"), 6).alias("score")).where(F.col("score") >= min_cosine)
+    best = scored.groupBy("unit").agg(F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("b"))
+    notices = named.where(F.col("template").isin(*short)).collect()
     windows = said.select("id", F.inline("contexts")).select("id", _best_window(spans, notices, idf.collect(), min_cosine).alias("b")).where("b is not null")
-    fits = lines.join(best, "line").select("id", "b").union(windows)
+    fits = lines.select("id", "unit").join(best, "unit").select("id", "b").union(windows)
     per_doc = fits.groupBy("id").agg(F.min("b").alias("b"))
     return per_doc.select(F.col("id").alias(id_column), F.col("b.licence").alias("licence"), (-F.col("b.s")).alias("score"))
 
@@ -227,7 +230,7 @@ def licence_scan(docs: DataFrame, path: Column, id_column: str = "doc_id", text_
     """(id, path, licence, score, origin, origin_dir) for each row of ``docs``; origin is own, inherited or null.
 
     ``path`` gives a file's path with ``/`` between directories; null counts as the empty path, which has no directory.
-    Null and empty texts have no licence of their own. Of several licence files in one directory the one with the
+    Null and empty texts have no licence of their own. Repeated rows count each in the terms' rarity. Of several licence files in one directory the one with the
     best score counts, then the first name. Rows that share an id share its licence; rows without an id have only an inherited one.
     Other columns are not returned; an empty table gives an empty result. Very long texts are read whole.
 

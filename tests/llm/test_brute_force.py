@@ -120,21 +120,22 @@ def by_hand(files):
     speaks, over = regex.compile(licences.SPEAKS), regex.compile(licences.SPEAKS_OVER_LINES)
     is_file = regex.compile(licences.LICENCE_FILE)
     samples = [(name, py_terms(body)) for name, body in [*licences.TEMPLATES, *licences.FULL_TEXTS]]
+    notices = samples[: len(licences.TEMPLATES)]
 
     def speaking_places(words):
         joined = " ".join(words)
         return sorted({joined.count(" ", 0, m.start()) for m in speaks.finditer(joined)})
 
-    spans = {(p[0], len(w) - 1 - p[0]) for _, w in samples if len(w) <= licences.WINDOW_TERMS and (p := speaking_places(w))} | {(n, n) for n in licences.RADII}
+    spans = {(p[0], len(w) - 1 - p[0]) for _, w in notices if (p := speaking_places(w))} | {(n, n) for n in licences.RADII}
     units = {}
     for k, name, text in files:
         if text and over.search(text):
             words = py_terms(text)
             headers = [" ".join(words[:n]) for n in licences.HEADERS]
-            own = [x for x in [*text.split("\n"), *headers] if speaks.search(x)] + [" ".join(words)] * bool(is_file.search(name))
-            units[k] = set(own), words
-    known = {t for _, w in samples for t in w}
-    lines = [py_terms(x) for own, _ in units.values() for x in own]
+            own = {x for x in text.split("\n") if speaks.search(x)} | ({" ".join(words)} if is_file.search(name) else set())
+            units[k] = own, {x for x in headers if speaks.search(x)} - own, words
+    known = {t for _, w in notices for t in w}
+    lines = [py_terms(x) for own, _, _ in units.values() for x in own]
     df = collections.Counter(t for w in lines for t in set(w))
     idf = {t: math.log((1 + len(lines)) / (1 + df[t])) + 1 for t in known}
 
@@ -142,19 +143,19 @@ def by_hand(files):
         v = {t: n * idf.get(t, 1.0) for t, n in collections.Counter(words).items()}
         return v, math.sqrt(sum(x * x for x in v.values()))
 
-    templates = [(name, len(w), *vector(w)) for name, w in samples]
+    templates = [(name, *vector(w)) for name, w in samples]
 
     def fits(words, only_short, least):
         v, norm = vector(words)
-        for name, n, t, t_norm in templates:
-            if norm and (not only_short or n <= licences.WINDOW_TERMS):
+        for name, t, t_norm in templates[: len(notices)] if only_short else templates:
+            if norm:
                 score = round(sum(v.get(x, 0.0) * y for x, y in t.items()) / norm / t_norm, 6)
                 if score >= least:
                     yield -score, name
 
     out = {}
-    for k, (own, words) in units.items():
-        found = [f for x in own for f in fits(py_terms(x), False, licences.MIN_COSINE)]
+    for k, (own, headers, words) in units.items():
+        found = [f for x in own | headers for f in fits(py_terms(x), False, licences.MIN_COSINE)]
         for i in speaking_places(words):
             for before, after in spans:
                 window = words[max(0, i - before) : i + after + 1]
