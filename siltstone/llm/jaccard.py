@@ -300,18 +300,30 @@ def _with_partner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 continue
             counts = folded(vectors[a:b])
             tree = CountTree(counts, sizes[a:b], PERCENT)
-            common = _most_common(labels[a:b])
-            for i in range(a, b):
-                if not keep[i] and labels[i] != common:  # each pair has one that isn't of the most common label
-                    found = a + tree.order[tree.partners(counts[i - a], sizes[i])]
-                    found = found[labels[found] != labels[i]]
-                    if len(found):
-                        keep[i] = True
-                        keep[found] = True
+            rest = labels[a:b] != _most_common(labels[a:b])  # each pair has one that isn't of the most common label
+            passed = []
+            for i in (a + np.flatnonzero(rest)).tolist():
+                if keep[i]:
+                    passed.append(i)
+                else:
+                    _keep_partners(i, a, counts, tree, sizes, labels, keep)
+            # of pairs with one passed over, only the other may still be missing, and only if it is of the most common label
+            missing = (a + np.flatnonzero(~rest & ~keep[a:b])).tolist()
+            for i in min(passed, missing, key=len):
+                _keep_partners(i, a, counts, tree, sizes, labels, keep)
         yield from rows.select([*BLOCK, "id", "label"]).filter(pa.array(keep)).combine_chunks().to_batches()
     give_back()
 
 
+def _keep_partners(i: int, a: int, counts: np.ndarray, tree: CountTree, sizes: np.ndarray, labels: np.ndarray, keep: np.ndarray) -> None:
+    """Mark row ``i``, of a block that begins at row ``a``, and the rows of other labels that may be similar to it, if there are any."""
+    found = a + tree.order[tree.partners(counts[i - a], sizes[i])]
+    found = found[labels[found] != labels[i]]
+    if len(found):
+        keep[i] = True
+        keep[found] = True
+
+
 def _most_common(labels: np.ndarray) -> int:
     values, count = np.unique(labels, return_counts=True)
     return values[count.argmax()]

@@ -289,6 +289,38 @@ def test_word_counts_of_windows_are_those_of_plain_loops():
     assert [[a == b for b in want] for a in want] == [[a == b for b in linked] for a in linked]
 
 
+def similar_sets(a, b):
+    both = len(np.intersect1d(a, b))
+    return 100 * both >= 75 * (len(a) + len(b) - both)
+
+
+def test_members_kept_for_one_partner_keep_their_others():
+    r = np.random.default_rng(4)
+    for _ in range(100):
+        pool = r.integers(0, 1 << 62, 100).astype(np.uint64)
+        sets = [np.unique(pool[3 * k : 3 * k + 20 + int(r.integers(0, 2))]) for k in r.permutation(20)]  # only neighbours in the chain are similar
+        labels = r.integers(0, 8, 20)
+        vectors = [np.bincount((s & np.uint64(63)).astype(np.int64), minlength=64).astype(np.uint16).tobytes() for s in sets]
+        ids = pa.array(range(20), pa.int64())
+        block = {c: pa.array([0] * 20, pa.int64()) for c in jaccard.BLOCK} | {"id": ids, "label": pa.array(labels), "n": pa.array([len(s) for s in sets]), "vector": pa.array(vectors, pa.binary())}
+        kept = {i for b in jaccard._with_partner(iter([pa.RecordBatch.from_pydict(block)])) for i in b["id"].to_pylist()}
+        assert {k for i in range(20) for j in range(i) if labels[i] != labels[j] and similar_sets(sets[i], sets[j]) for k in (i, j)} <= kept
+
+
+def test_chains_of_similar_texts_are_whole(spark):
+    r = random.Random(5)
+    rows, want = [], {}
+    for c in range(150):
+        words, step = ((18, 2), (24, 2), (64, 6))[c % 3]  # similarities of neighbours: 0.75, 0.82 and 0.82
+        ids = [10 * c + j for j in range(r.choice((3, 4, 5)))]
+        want |= dict.fromkeys(ids, ids[0])
+        r.shuffle(ids)
+        rows += [(i, " ".join(f"w{c}x{m}" for m in range(step * j, step * j + words))) for j, i in enumerate(ids)]
+    r.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in jaccard.jaccard_join(df).collect()} == want
+
+
 def test_queries_return_their_columns(spark):
     wanted = {
         "op2_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"], "op3_quality": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
